@@ -30,7 +30,7 @@ def _deliveries(spark, sf_dir) -> DataFrame:
 
 def _normal(spark, sf_dir) -> DataFrame:
     """Normalised messages; the offset of a message is its event's number."""
-    return normalize(source.decoded(_messages(spark, sf_dir))).drop("extras")
+    return normalize(source.decoded(_messages(spark, sf_dir)))
 
 
 # --- views over the events table ---
@@ -139,7 +139,7 @@ def _(spark, sf_dir):
 @query("kafka_parse", f"""WITH {EV} SELECT i AS _kafka_offset, (u % 4)::INTEGER AS _kafka_partition,
        epoch_us(ts) // 1000 AS _kafka_timestamp FROM ev""")
 def _(spark, sf_dir):
-    return source.decoded(_messages(spark, sf_dir)).drop("fields")
+    return source.decoded(_messages(spark, sf_dir)).drop("fields", "raw")
 
 
 @query("quarantine", f"""WITH {EV} SELECT i AS _kafka_offset, (u % 4)::INTEGER AS _kafka_partition

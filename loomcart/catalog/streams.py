@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomcart.catalog import adapters as given
 from loomcart.catalog.events import HOURLY_SQL, plain_revenue
 from loomcart.catalog.oracle import DELIVERED, PROCESSED, alert_text
-from loomcart.catalog.registry import query, six, six_sql, text_list
+from loomcart.catalog.registry import query, text_list
 from loomcart.operators.sinks import write_events
 from loomcart.plans.events_job import clean
 from loomcart.schemas import KAFKA_SCHEMA
@@ -26,19 +26,15 @@ _PARTS = [(0, 8), (8, 16), (16, 24), (24, 32)]
 _LONG_WINDOW = 24 * 3600
 
 
-def _write_parts(df: DataFrame, path: str) -> int:
-    """Write the table as four folders in time order; returns the number of files."""
-    spark = df.sparkSession
+def _write_parts(df: DataFrame, path: str) -> None:
+    """Write the table in four appends, in time order."""
     day = F.dayofmonth("timestamp")
-    files = 0
     for first, last in _PARTS:
-        part = df.filter((day > first) & (day <= last))
-        part.coalesce(1).write.mode("append").parquet(path)
-        files += 1
-    return files
+        df.filter((day > first) & (day <= last)).write.mode("append").parquet(path)
 
 
 def _stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The parts as a stream, oldest file first, one file of them per micro-batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -49,19 +45,17 @@ def ingested(spark: SparkSession, sf_dir: str) -> str:
     """Root folder of one ingest of all deliveries, in four micro-batches."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _INGESTED:
-        _INGESTED[key] = _ingest(spark, sf_dir, runs=1)
-    return _INGESTED[key]
+        base = scratch_path(spark, "ingest")
+        _write_parts(given.delivered_messages(spark, sf_dir), f"{base}/topic")
+        _ingest(spark, base, "first")
+        _INGESTED[key] = base
+    return f"{_INGESTED[key]}/tables"
 
 
-def _ingest(spark: SparkSession, sf_dir: str, runs: int) -> str:
-    base = scratch_path(spark, "ingest")
-    _write_parts(given.delivered_messages(spark, sf_dir), f"{base}/topic")
-    for run in range(runs):
-        query = start_ingest(_stream(spark, f"{base}/topic", KAFKA_SCHEMA), parse_kafka,
-                             f"{base}/tables", f"{base}/checkpoint-{run}",
-                             window_seconds=_LONG_WINDOW, interval=None)
-        query.awaitTermination()
-    return f"{base}/tables"
+def _ingest(spark: SparkSession, base: str, run: str) -> None:
+    start_ingest(_stream(spark, f"{base}/topic", KAFKA_SCHEMA), parse_kafka, f"{base}/tables",
+                 f"{base}/checkpoint-{run}", window_seconds=_LONG_WINDOW,
+                 interval=None).awaitTermination()
 
 
 _STORED = f"""WITH {PROCESSED}
@@ -84,8 +78,10 @@ def _(spark, sf_dir):
 
 @query("stream_replay_idempotent", _STORED)
 def _(spark, sf_dir):
-    """The whole topic is read twice into the same tables, as after a lost checkpoint."""
-    return _stored(spark, _ingest(spark, sf_dir, runs=2))
+    """The whole topic is read once more into the same tables, as after a lost checkpoint."""
+    tables = ingested(spark, sf_dir)
+    _ingest(spark, tables.removesuffix("/tables"), f"again-{time.time_ns()}")
+    return _stored(spark, tables)
 
 
 @query("stream_anomaly", f"""WITH {PROCESSED}
@@ -101,8 +97,9 @@ SELECT (CASE WHEN day(arrival) <= 8 THEN 0 WHEN day(arrival) <= 16 THEN 1
              WHEN day(arrival) <= 24 THEN 2 ELSE 3 END)::BIGINT AS batch_id,
        count(*) AS batch_size FROM delivered GROUP BY 1""")
 def _(spark, sf_dir):
-    """The size history the last batch left behind."""
-    return load_state(spark, ingested(spark, sf_dir), "batch_sizes", 4).select("batch_id", "batch_size")
+    """The size history the fourth batch left behind."""
+    return load_state(spark, ingested(spark, sf_dir), "batch_sizes", len(_PARTS)).select(
+        "batch_id", "batch_size")
 
 
 @query("stream_run_log", f"""WITH {PROCESSED}

@@ -1,7 +1,8 @@
-"""Reading JSON objects kept as ``map<string,variant>``.
+"""Reading JSON objects whose fields may be absent, null or of any type.
 
-The map keeps what a fixed struct would lose: whether a key was there at all, and
-whether its value was a number, a text or null.
+The fields of interest are read into a struct of variants. A variant tells what a typed
+column would lose: SQL NULL is an absent key, a VOID variant a JSON null, and a number
+differs from the same digits sent as text.
 """
 
 from __future__ import annotations
@@ -9,24 +10,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FIELDS_TYPE = "map<string,variant>"
+_JSON = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
+# Read behind the text: it is only found when the text is one whole object.
+_END = "__end__"
 
 
-def raw_object(text: Column) -> Column:
-    """JSON object text to a map; null for anything else. Keys may repeat."""
-    return F.when(F.is_valid_utf8(text), F.from_json(text, FIELDS_TYPE))
+def parse_object(text: Column, names: list[str], plain: list[str]) -> Column:
+    """JSON object text to a struct with the given fields; null for anything else.
 
+    ``plain`` fields are text, the others variants. Of a repeated key the last value
+    counts.
+    """
+    types = ", ".join(f"`{n}`: {'string' if n in plain else 'variant'}" for n in [*names, _END])
+    wrapped = F.concat(F.lit("["), text, F.lit(f', {{"{_END}": 1}}]'))
+    items = F.from_json(wrapped, f"array<struct<{types}>>", _JSON)
+    whole = (F.size(items) == 2) & F.try_element_at(items, F.lit(2))[_END].isNotNull()
+    return F.when(F.is_valid_utf8(text) & whole, F.try_element_at(items, F.lit(1)))
 
-def unique_keys(raw: Column) -> Column:
-    """A repeated key keeps its first position and its last value."""
-    names = F.array_distinct(F.map_keys(raw))
 
-    def last_value(name):
-        same = F.filter(F.map_entries(raw), lambda e: e["key"] == name)
-        return F.element_at(same, -1)["value"]
+def key_order(text: Column) -> Column:
+    """The keys of an object in the order of their first mention."""
+    return F.array_distinct(F.map_keys(F.from_json(text, "map<string,variant>", _JSON)))
 
-    unique = F.map_from_arrays(names, F.transform(names, last_value))
-    return F.when(F.size(names) == F.size(F.map_keys(raw)), raw).otherwise(unique)
+
+def all_fields(text: Column) -> Column:
+    """Every key and value of an object."""
+    return F.from_json(text, "map<string,variant>", _JSON)
 
 
 def type_name(value: Column) -> Column:

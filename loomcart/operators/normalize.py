@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcart.functions.text import bare_number, finite, iso_text, parse_number, strip
-from loomcart.functions.variants import is_number, type_name
-from loomcart.schemas import EVENT_FIELDS, FIELD_ALIASES
+from loomcart.functions.variants import all_fields, is_number, key_order, type_name
+from loomcart.schemas import EVENT_FIELDS, FIELD_ALIASES, RAW_NAMES, TEXT_FIELDS
 
 # ISO-8601 shapes that are read as a time; anything else stays text.
 _ISO = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
@@ -28,15 +28,11 @@ _TYPED = sorted({*_UPPER, *_TRIMMED, "amount", "timestamp"})
 _NUMERIC = ["amount", "timestamp"]
 
 
-def _names(name: str, aliases: bool) -> list[str]:
-    return [name, *FIELD_ALIASES.get(name, [])] if aliases else [name]
-
-
 def _clash(fields: Column) -> Column:
     """Whether a record holds more than one name of some field, which is rare."""
     found = []
     for name, aliases in FIELD_ALIASES.items():
-        held = [F.map_contains_key(fields, n).cast("int") for n in [name, *aliases]]
+        held = [fields[n].isNotNull().cast("int") for n in [name, *aliases]]
         found.append(reduce(operator.add, held) > 1)
     return reduce(operator.or_, found)
 
@@ -44,13 +40,14 @@ def _clash(fields: Column) -> Column:
 def _pick_field(fields: Column, name: str, aliases: bool) -> Column:
     """The value that ends up under ``name``; null when there is none (a JSON null is a
     value). When several names are present the last one in the record wins."""
-    names = _names(name, aliases)
-    found = F.coalesce(*[F.try_element_at(fields, F.lit(n)) for n in names])
+    names = [name, *FIELD_ALIASES.get(name, [])] if aliases else [name]
+    found = F.coalesce(*[fields[n] for n in names])
     if len(names) == 1:
         return found
-    entries = F.filter(F.map_entries(fields), lambda e: e["key"].isin(names))
-    last = F.try_element_at(entries, F.lit(-1))["value"]
-    return F.when(F.col("_clash"), last).otherwise(found)
+    last = F.try_element_at(F.filter("_order", lambda k: k.isin(names)), F.lit(-1))
+    chosen = reduce(lambda case, n: case.when(last == n, fields[n]), names[1:],
+                    F.when(last == names[0], fields[names[0]]))
+    return F.when(F.col("_order").isNotNull(), chosen).otherwise(found)
 
 
 def _read_fields(df: DataFrame, aliases: bool) -> tuple[DataFrame, list[str]]:
@@ -60,14 +57,17 @@ def _read_fields(df: DataFrame, aliases: bool) -> tuple[DataFrame, list[str]]:
     time and the amount are made from. What is used more than once gets a projection of
     its own: Catalyst then evaluates it once.
     """
-    rest = [c for c in df.columns if c != "fields"]
-    clash = _clash(F.col("fields")) if aliases else F.lit(False)
-    picked = df.withColumn("_clash", clash).select("fields", *rest, *[
-        _pick_field(F.col("fields"), n, aliases).alias(f"_v_{n}") for n in EVENT_FIELDS])
+    rest = [c for c in df.columns if c not in ("fields", "raw")]
+    fields = F.col("fields")
+    # Records with clashing names are read once more, for the order of their keys.
+    order = F.when(_clash(fields), key_order(F.col("raw"))) if aliases else F.lit(None)
+    picked = df.withColumn("_order", order).select(*rest, *[
+        _pick_field(fields, n, aliases).alias(f"_v_{n}") for n in EVENT_FIELDS])
     present = F.struct(*[F.col(f"_v_{n}").isNotNull().alias(n) for n in EVENT_FIELDS])
     read = picked.select(
-        "fields", *rest, present.alias("_present"),
-        *[F.try_variant_get(f"_v_{n}", "$", "string").alias(f"_s_{n}") for n in EVENT_FIELDS],
+        *rest, present.alias("_present"),
+        *[(F.col(f"_v_{n}") if n in TEXT_FIELDS else F.try_variant_get(f"_v_{n}", "$", "string"))
+          .alias(f"_s_{n}") for n in EVENT_FIELDS],
         *[type_name(F.col(f"_v_{n}")).alias(f"_t_{n}") for n in _TYPED],
         *[F.try_variant_get(f"_v_{n}", "$", "double").alias(f"_d_{n}") for n in _NUMERIC],
     )
@@ -125,24 +125,27 @@ def normalize(decoded: DataFrame) -> DataFrame:
     """Canonical event columns from ``fields``; the other columns are carried along.
 
     Adds per row: ``_present`` (which fields the record held), ``timestamp_text`` (what
-    a consumer of the text form would see), ``ts_parse_ok``, ``_bad_amount`` and
-    ``extras`` (all other fields).
+    a consumer of the text form would see), ``ts_parse_ok`` and ``_bad_amount``.
     """
     read, rest = _read_fields(decoded, aliases=True)
     columns = {n: _clean(n) if n in _UPPER | _TRIMMED else F.col(f"_s_{n}") for n in EVENT_FIELDS}
     columns["timestamp"] = F.col("_time")
     columns["amount"] = finite(F.col("_number"))
-    listed = sorted({*EVENT_FIELDS, *[a for names in FIELD_ALIASES.values() for a in names]})
     return read.select(
         *rest, *[c.alias(n) for n, c in columns.items()], "_present",
         _time_text().alias("timestamp_text"),
         F.when(_given("timestamp"), F.col("_time").isNotNull()).alias("ts_parse_ok"),
         (_given("amount") & finite(F.col("_number")).isNull()).alias("_bad_amount"),
         F.current_timestamp().alias("_normalized_at"),
-        F.map_filter("fields", lambda k, v: ~k.isin(listed)).alias("extras"),
     )
 
 
+def other_fields(decoded: DataFrame) -> DataFrame:
+    """Adds ``extras``: the fields of a record that are no event columns, as variants."""
+    return decoded.withColumn("extras", F.map_filter(
+        all_fields(F.col("raw")), lambda k, v: ~k.isin(RAW_NAMES)))
+
+
 def raw_event_columns(decoded: DataFrame) -> DataFrame:
     """Canonical columns without aliases or cleaning, for validating records as sent.
 

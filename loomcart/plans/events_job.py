@@ -29,7 +29,7 @@ class Processed:
 
 def clean(parsed: DataFrame) -> DataFrame:
     """Decoded records as canonical rows with their fingerprint."""
-    return fingerprint(normalize(decoded(parsed)).drop("extras", "_normalized_at"))
+    return fingerprint(normalize(decoded(parsed)).drop("_normalized_at"))
 
 
 def classify(unique: DataFrame, users: DataFrame | None = None,

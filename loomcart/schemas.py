@@ -132,3 +132,9 @@ EVENT_FIELDS = [
     "device_type", "amount", "currency", "path", "referrer", "record_type",
     "transaction_id",
 ]
+
+# Of these nothing but the text matters: absent and null are the same to every operator.
+TEXT_FIELDS = ["path", "record_type", "transaction_id"]
+
+# Every name under which a raw event may carry such a field.
+RAW_NAMES = [name for field in EVENT_FIELDS for name in [field, *FIELD_ALIASES.get(field, [])]]

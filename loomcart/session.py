@@ -13,9 +13,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # HotSpot does not compile methods above 8000 bytes: wide projections run faster
-    # split up than as one generated method.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Read when a stateful stream starts; harmless for everything else.

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.functions.variants import raw_object, unique_keys
+from loomcart.functions.variants import parse_object
+from loomcart.schemas import RAW_NAMES, TEXT_FIELDS
 
 # Total arrival order of Kafka rows: offsets order rows inside one partition only,
 # so time comes first by convention.
@@ -35,20 +36,18 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, batch_rows: int
 
 
 def parse_kafka(df: DataFrame) -> DataFrame:
-    """Kafka's columns to ``fields`` (map of variants) and the message coordinates.
+    """Kafka's columns to ``fields``, the message text in ``raw`` and the coordinates.
 
-    ``fields`` is null when the value is not a JSON object in valid UTF-8; the text is
-    then found in ``raw``.
+    ``fields`` is null when the value is not a JSON object in valid UTF-8.
     """
     text = df["value"].cast("string")
-    read = df.select(
-        raw_object(text).alias("fields"),
+    return df.select(
+        parse_object(text, RAW_NAMES, TEXT_FIELDS).alias("fields"),
         text.alias("raw"),
         df["offset"].alias("_kafka_offset"),
         df["partition"].alias("_kafka_partition"),
         F.unix_millis(df["timestamp"].cast("timestamp")).alias("_kafka_timestamp"),
     )
-    return read.withColumn("fields", unique_keys(F.col("fields")))
 
 
 def landing_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -65,12 +64,11 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_landing(df: DataFrame) -> DataFrame:
     """As ``parse_kafka`` for lines of text, which carry no message coordinates."""
-    read = df.select(
-        raw_object(df["value"]).alias("fields"),
+    return df.select(
+        parse_object(df["value"], RAW_NAMES, TEXT_FIELDS).alias("fields"),
         df["value"].alias("raw"),
         *[df[c] for c in df.columns if c != "value"],
     )
-    return read.withColumn("fields", unique_keys(F.col("fields")))
 
 
 def decoded(parsed: DataFrame) -> DataFrame:
@@ -79,7 +77,7 @@ def decoded(parsed: DataFrame) -> DataFrame:
     Written as an explode, which drops nulls like a filter would: a filter is pushed
     below the parse and makes Spark parse every message twice.
     """
-    rest = [c for c in parsed.columns if c not in ("fields", "raw")]
+    rest = [c for c in parsed.columns if c != "fields"]
     found = F.explode(F.array_compact(F.array("fields"))).alias("fields")
     return parsed.select(*rest, found)
 
