@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcart.schemas import CURRENCIES
+from loomcart.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,7 +103,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     some messages are cut off or are no objects. ``oracle.RAW_EVENTS`` states the
     expected reading of the same rows.
     """
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     i, u = F.col("event_id"), F.col("user_id")
     ts = F.col("ts").cast("timestamp")
 

@@ -16,7 +16,7 @@ from loomcart.operators.normalize import from_columns, normalize, raw_event_colu
 from loomcart.operators.quality import duplicate_keys
 from loomcart.operators.validate import accepted, audit_nulls, rejected, validate
 from loomcart.plans import events_job, marts
-from loomcart.session import scratch_path
+from loomcart.session import cut_lineage, scratch_path
 from loomcart.sources import events as source
 
 
@@ -217,7 +217,8 @@ walk AS (
   FROM walk w JOIN numbered n ON n.fingerprint = w.fingerprint AND n.rn = w.rn + 1)
 SELECT fingerprint, _kafka_offset FROM walk WHERE kept""")
 def _(spark, sf_dir):
-    rows = events_job.clean(_deliveries(spark, sf_dir)).select("fingerprint", *source.KAFKA_ORDER)
+    rows = cut_lineage(events_job.clean(_deliveries(spark, sf_dir)).select(
+        "fingerprint", *source.KAFKA_ORDER))
     return dedup.dedup_window(rows, "_kafka_timestamp", source.KAFKA_ORDER).select(
         "fingerprint", "_kafka_offset")
 

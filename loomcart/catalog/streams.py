@@ -11,7 +11,7 @@ from loomcart.catalog import adapters as given
 from loomcart.catalog.events import HOURLY_SQL, plain_revenue
 from loomcart.catalog.oracle import DELIVERED, PROCESSED, alert_text
 from loomcart.catalog.registry import query, text_list
-from loomcart.operators.sinks import write_events
+from loomcart.operators.sinks import current_runs, write_events
 from loomcart.plans.events_job import clean
 from loomcart.schemas import KAFKA_SCHEMA
 from loomcart.session import STATE_STORE, scratch_path
@@ -26,19 +26,22 @@ _PARTS = [(0, 8), (8, 16), (16, 24), (24, 32)]
 _LONG_WINDOW = 24 * 3600
 
 
-def _write_parts(df: DataFrame, path: str) -> None:
-    """Write the table in four appends, in time order."""
+def _write_parts(df: DataFrame, path: str) -> int:
+    """Write the table in four appends, in time order; returns the files per append."""
+    files = max(8, df.rdd.getNumPartitions())
     day = F.dayofmonth("timestamp")
     for first, last in _PARTS:
-        df.filter((day > first) & (day <= last)).write.mode("append").parquet(path)
+        part = df.filter((day > first) & (day <= last)).repartition(files)
+        part.write.mode("append").parquet(path)
+    return files
 
 
-def _stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The parts as a stream, oldest file first, one file of them per micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _stream(spark: SparkSession, path: str, schema, files: int) -> DataFrame:
+    """The table as a stream, oldest files first, one append per micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-_INGESTED: dict[tuple[str, str], str] = {}
+_INGESTED: dict[tuple[str, str], tuple[str, int]] = {}
 
 
 def ingested(spark: SparkSession, sf_dir: str) -> str:
@@ -46,14 +49,14 @@ def ingested(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _INGESTED:
         base = scratch_path(spark, "ingest")
-        _write_parts(given.delivered_messages(spark, sf_dir), f"{base}/topic")
-        _ingest(spark, base, "first")
-        _INGESTED[key] = base
-    return f"{_INGESTED[key]}/tables"
+        files = _write_parts(given.delivered_messages(spark, sf_dir), f"{base}/topic")
+        _ingest(spark, base, files, "first")
+        _INGESTED[key] = (base, files)
+    return f"{_INGESTED[key][0]}/tables"
 
 
-def _ingest(spark: SparkSession, base: str, run: str) -> None:
-    start_ingest(_stream(spark, f"{base}/topic", KAFKA_SCHEMA), parse_kafka, f"{base}/tables",
+def _ingest(spark: SparkSession, base: str, files: int, run: str) -> None:
+    start_ingest(_stream(spark, f"{base}/topic", KAFKA_SCHEMA, files), parse_kafka, f"{base}/tables",
                  f"{base}/checkpoint-{run}", window_seconds=_LONG_WINDOW,
                  interval=None).awaitTermination()
 
@@ -80,7 +83,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The whole topic is read once more into the same tables, as after a lost checkpoint."""
     tables = ingested(spark, sf_dir)
-    _ingest(spark, tables.removesuffix("/tables"), f"again-{time.time_ns()}")
+    base, files = _INGESTED[spark.sparkContext.applicationId, sf_dir]
+    _ingest(spark, base, files, f"again-{time.time_ns()}")
     return _stored(spark, tables)
 
 
@@ -109,8 +113,9 @@ SELECT (SELECT count(*) FROM delivered) AS ingested,
        (SELECT count(*) FROM delivered) - (SELECT count(*) FROM firsts) AS duplicates_dropped,
        (SELECT count(*) FROM alerts) AS anomalies_detected""")
 def _(spark, sf_dir):
+    """The run log has one row per batch, however often a batch was run."""
     log = spark.read.parquet(f"{ingested(spark, sf_dir)}/run_log")
-    return log.agg(F.sum("records_ingested").alias("ingested"),
+    return current_runs(log, ["logged_at"]).agg(F.sum("records_ingested").alias("ingested"),
                    F.sum("records_rejected").alias("rejected"),
                    F.sum("records_flagged").alias("flagged"),
                    F.sum("duplicates_dropped").alias("duplicates_dropped"),
@@ -141,9 +146,9 @@ def _(spark, sf_dir):
     base = scratch_path(spark, "dedup")
     rows = clean(parse_kafka(given.delivered_messages(spark, sf_dir))).select(
         "fingerprint", *KAFKA_ORDER, F.timestamp_millis("_kafka_timestamp").alias("timestamp"))
-    _write_parts(rows, f"{base}/in")
+    files = _write_parts(rows, f"{base}/in")
     stored = spark.read.parquet(f"{base}/in")
-    kept = dedup_stream(_stream(spark, f"{base}/in", stored.schema), KAFKA_ORDER, _LONG_WINDOW)
+    kept = dedup_stream(_stream(spark, f"{base}/in", stored.schema, files), KAFKA_ORDER, _LONG_WINDOW)
     query = (kept.writeStream.format("parquet").option("path", f"{base}/out")
              .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").start())
     drain(query, stored.count())
@@ -155,7 +160,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Each batch is appended to the events table; the days it touched are recomputed."""
     base = scratch_path(spark, "summaries")
-    _write_parts(given.events(spark, sf_dir), f"{base}/in")
+    files = _write_parts(given.events(spark, sf_dir), f"{base}/in")
     schema = spark.read.parquet(f"{base}/in").schema
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -163,7 +168,7 @@ def _(spark, sf_dir):
         write_events(batch.withColumn("batch_id", F.lit(batch_id)), f"{base}/events")
         refresh_summaries(batch, session.read.parquet(f"{base}/events"), f"{base}/views")
 
-    (_stream(spark, f"{base}/in", schema).writeStream.foreachBatch(handle)
+    (_stream(spark, f"{base}/in", schema, files).writeStream.foreachBatch(handle)
      .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
      .awaitTermination())
     revenue = spark.read.parquet(f"{base}/views/hourly_revenue").drop("event_date")
@@ -174,9 +179,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Running hourly totals in update mode; the last state of each hour is the answer."""
     base = scratch_path(spark, "windowed")
-    _write_parts(given.events(spark, sf_dir), f"{base}/in")
+    files = _write_parts(given.events(spark, sf_dir), f"{base}/in")
     schema = spark.read.parquet(f"{base}/in").schema
-    revenue = windowed_revenue(_stream(spark, f"{base}/in", schema))
+    revenue = windowed_revenue(_stream(spark, f"{base}/in", schema, files))
     (revenue.writeStream.outputMode("update")
      .foreachBatch(lambda batch, batch_id: write_batch(batch, base, "updates", batch_id))
      .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcart.functions.joins import BROADCAST_ROWS
@@ -42,12 +42,17 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str],
 
     ``order_by`` must order the rows of a key totally for the result to be repeatable.
     """
+    if copies is None:
+        # Spark limits each map task to one row per key ahead of the shuffle.
+        in_order = Window.partitionBy(*keys).orderBy(*order_by)
+        return (df.withColumn("_place", F.row_number().over(in_order))
+                .filter(F.col("_place") == 1).drop("_place"))
     rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order_by)).alias("_first")
-    aggregates = [first] + ([F.count(F.lit(1)).alias(copies)] if copies else [])
-    grouped = df.groupBy(*keys).agg(*aggregates)
-    unpacked = [F.col(k) if k in keys else F.col("_first")[k].alias(k) for k in df.columns]
-    return grouped.select(*unpacked, *([copies] if copies else []))
+    grouped = df.groupBy(*keys).agg(
+        F.min_by(F.struct(*rest), F.struct(*order_by)).alias("_first"),
+        F.count(F.lit(1)).alias(copies))
+    return grouped.select(
+        *[F.col(k) if k in keys else F.col("_first")[k].alias(k) for k in df.columns], copies)
 
 
 def dedup_batch(df: DataFrame, order_by: list[str], copies: str | None = None,

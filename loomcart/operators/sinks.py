@@ -6,7 +6,7 @@ catalogs whose tables support MERGE use ``merge_rows``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomcart.functions.joins import fits_broadcast
@@ -36,14 +36,11 @@ def load_table(df: DataFrame, path: str, if_exists: str = "append",
         else:
             fresh.write.parquet(path)
         return fresh.count()
-    if if_exists == "replace":
-        fresh = cut_lineage(df)
-        fresh.write.mode("overwrite").parquet(path)
-        return fresh.count()
-    before = spark.read.parquet(path).count() if path_exists(spark, path) else 0
-    df.write.mode(_MODES[if_exists]).parquet(path)
-    # Row counts come from file footers, not from a second run of the plan.
-    return spark.read.parquet(path).count() - before
+    # Counted while it is written: neither the plan nor the target is read for it.
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode(_MODES[if_exists]).parquet(path)
+    return written.get["rows"]
 
 
 def load_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append",
@@ -115,10 +112,11 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
         known = cut_lineage(known_keys(first, spark.read.parquet(path), key))
         fresh, inserted = fresh.join(known, key, "left_anti"), inserted - known.count()
     if inserted:
-        writer = fresh.select(*batch.columns).write.mode("append")
+        rows = fresh.select(*batch.columns)
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+            # Each task writes few folders, and a folder with most rows gets many tasks.
+            rows = rows.repartitionByRange(*partition_by, key)
+        rows.write.mode("append").partitionBy(*partition_by or []).parquet(path)
     return {"inserted": inserted, "skipped": counts["rows"] - inserted}
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomcart.functions.joins import fits_broadcast
 from loomcart.operators.anomaly import check_amounts
 from loomcart.operators.dedup import dedup_batch, fingerprint
 from loomcart.operators.integrity import check_references
@@ -66,8 +67,10 @@ def finish(classified: DataFrame, order_by: list[str], history: DataFrame | None
     scored = check_amounts(good.select(*order_by, "amount"), order_by, history=history,
                            one_block=one_block)
     alerts = cut_lineage(scored.filter("is_alert").drop("is_alert"))
-    flagged = good.join(alerts.select(*order_by, "_anomaly_alert"), order_by, "left")
-    return flagged.drop("_copies"), alerts
+    texts = alerts.select(*order_by, "_anomaly_alert")
+    if fits_broadcast(texts):
+        texts = F.broadcast(texts)
+    return good.join(texts, order_by, "left").drop("_copies"), alerts
 
 
 def process(parsed: DataFrame, order_by: list[str] | None = None, users: DataFrame | None = None,

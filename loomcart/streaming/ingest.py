@@ -22,7 +22,7 @@ from loomcart.operators.sinks import (
 )
 from loomcart.operators.validate import rejected
 from loomcart.plans.events_job import classify, clean, finish, run_counters
-from loomcart.session import cut_lineage, path_exists, remove_path
+from loomcart.session import cut_lineage, path_exists, remove_path, spread
 from loomcart.sources.events import KAFKA_ORDER, quarantined
 
 # Batches of at most this many rows are scored in one task.
@@ -146,7 +146,7 @@ def start_ingest(stream: DataFrame, parse: Callable[[DataFrame], DataFrame], roo
                  interval: str | None = "500 milliseconds", **checks) -> StreamingQuery:
     """Run ``ingest_batch`` on every micro-batch; ``interval=None`` drains and stops."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(parse(batch), batch_id, root, order_by, window_seconds, **checks)
+        ingest_batch(parse(spread(batch)), batch_id, root, order_by, window_seconds, **checks)
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

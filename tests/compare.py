@@ -53,7 +53,8 @@ def main() -> None:
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
     spark = build_session("compare", "local[8]", spark__ui__enabled="false",
-                          spark__sql__shuffle__partitions=8, spark__driver__memory="12g")
+                          spark__sql__shuffle__partitions=8, spark__driver__memory="12g",
+                          spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     db, sql, bad = connect(sf_dir), entry.oracle_sql(), 0
     for name, build in entry.queries().items():

@@ -16,6 +16,8 @@ def db():
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("CartesianProduct", "NestedLoopJoin", "PythonUDF"))
     assert differences(df, db.sql(entry.oracle_sql()[name])) == []
 
 
