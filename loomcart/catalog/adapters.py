@@ -37,7 +37,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as an extract would hand them over, repeated ids included."""
-    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    li, o = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),

@@ -248,7 +248,7 @@ def _(spark, sf_dir):
 
 
 @query("validate_outcome", f"""WITH {CHECKED} SELECT outcome, count(*) AS records,
-       count_if(outcome = 'rejected') AS dropped FROM checked GROUP BY 1""")
+       count_if(outcome = 'rejected')::BIGINT AS dropped FROM checked GROUP BY 1""")
 def _(spark, sf_dir):
     checked = validate(_normal(spark, sf_dir))
     return (accepted(checked).select("outcome", F.lit(0).alias("drop"))
@@ -449,7 +449,7 @@ def _(spark, sf_dir):
          count_if(_has_nulls) AS flagged
   FROM evt GROUP BY 1, 2)
 SELECT run_id, arg_min(started, h) AS started_at, arg_max(ended, h) AS completed_at,
-       arg_max(n, h) AS records_ingested, arg_min(flagged, h) AS records_flagged,
+       arg_max(n, h) AS records_ingested, arg_min(flagged, h)::BIGINT AS records_flagged,
        arg_max('hour ' || h, h) AS status FROM log GROUP BY 1""")
 def _(spark, sf_dir):
     """A run per day with a log entry per hour: later entries update three columns only."""

@@ -155,11 +155,11 @@ def _(spark, sf_dir):
   SELECT order_id, nullif(status, 'P') AS status, nullif(quantity, 13) AS quantity,
          CASE WHEN discount = 5 THEN 'NaN'::DOUBLE ELSE discount::DOUBLE END AS discount
   FROM raw_orders)
-SELECT 'order_id' AS column_name, count(*) AS row_count, count_if(order_id IS NULL) AS null_count
+SELECT 'order_id' AS column_name, count(*) AS row_count, count_if(order_id IS NULL)::BIGINT AS null_count
 FROM holed UNION ALL
-SELECT 'status', count(*), count_if(status IS NULL) FROM holed UNION ALL
-SELECT 'quantity', count(*), count_if(quantity IS NULL) FROM holed UNION ALL
-SELECT 'discount', count(*), count_if(isnan(discount)) FROM holed""")
+SELECT 'status', count(*), count_if(status IS NULL)::BIGINT FROM holed UNION ALL
+SELECT 'quantity', count(*), count_if(quantity IS NULL)::BIGINT FROM holed UNION ALL
+SELECT 'discount', count(*), count_if(isnan(discount))::BIGINT FROM holed""")
 def _(spark, sf_dir):
     holed = given.raw_orders(spark, sf_dir).select(
         "order_id", F.nullif("status", F.lit("P")).alias("status"),
