@@ -18,6 +18,7 @@ def query(name: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return build(configure(spark), sf_dir.rstrip("/"))
 
+        run.__module__ = build.__module__
         QUERIES[name] = run
         if sql:
             SQL[name] = sql
