@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from loomcart.catalog.registry import query
-from loomcart.llm import decontaminate, exact_dedup, mixing, simhash
+from loomcart.llm import decontaminate, exact_dedup, mixing, quality, secrets, simhash, warc
 from loomcart.llm.common import table
-from loomcart.llm.sql import DECONTAMINATION, EXACT_DEDUP, MIXING
+from loomcart.llm.sql import DECONTAMINATION, EXACT_DEDUP, MIXING, WARC
+from loomcart.session import scratch_path
+
+
+@query("op2_quality")
+def op2(spark, sf_dir):
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query("op4_decontamination", DECONTAMINATION)
@@ -14,6 +22,17 @@ def op4(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query("op5_warc", WARC)
+def op5(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc")).drop("uri")
+
+
+@query("op6_secrets")
+def op6(spark, sf_dir):
+    found = secrets.secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query("op8_exact_dedup", EXACT_DEDUP)
 def op8(spark, sf_dir):
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).select(

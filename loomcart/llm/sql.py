@@ -64,3 +64,12 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies,
               + 4.0::DOUBLE * slope * least(1.0::DOUBLE, middle / target))) END AS position
 FROM x
 """
+
+WARC = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND payload_bytes >= 1000
+"""
