@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from loomcart.catalog.registry import query
-from loomcart.llm import decontaminate, exact_dedup, mixing, quality, secrets, simhash, warc
+from loomcart.llm import decontaminate, exact_dedup, html_text, mixing, quality, secrets, simhash, token_files, warc
 from loomcart.llm.common import table
 from loomcart.llm.sql import DECONTAMINATION, EXACT_DEDUP, MIXING, WARC
 from loomcart.session import scratch_path
 
 
+def tokenizer() -> str:
+    """The public byte-level BPE; TOKENIZER_FILE names another file."""
+    named = os.environ.get("TOKENIZER_FILE")
+    if named:
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op1_html_text")
+def op1(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op2_quality")
 def op2(spark, sf_dir):
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -33,6 +50,11 @@ def op6(spark, sf_dir):
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+@query("op7_token_files")
+def op7(spark, sf_dir):
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer(), scratch_path(spark, "tokens"))
+
+
 @query("op8_exact_dedup", EXACT_DEDUP)
 def op8(spark, sf_dir):
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).select(
