@@ -49,3 +49,8 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), 0)
+
+
+def text_hash(text: Column) -> Column:
+    """Tells the texts of rows apart that share a doc_id; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))

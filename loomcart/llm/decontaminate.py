@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcart.llm.common import checked_broadcast, lower_ascii, stored, words
+from loomcart.llm.common import checked_broadcast, lower_ascii, stored, text_hash, words
 
 WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 WINDOW_WORDS = 13
@@ -30,17 +30,20 @@ def test_windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
 
 
 def build_index(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
-    """row_id, doc_id, term_id, pos: the postings of ``terms`` (term, term_id > 0) in
-    ``docs``, stored, with a posting of term 0 at the length of every row. doc_id is held
-    by the latter only. Rows are numbered, so repeated doc_ids stay apart."""
+    """row_id, doc_id, text_hash, term_id, pos: the postings of ``terms`` (term, term_id >
+    0) in ``docs``, stored, with a posting of term 0 at the length of every row. doc_id and
+    text_hash are held by the latter only. Rows are numbered, so repeated doc_ids stay
+    apart."""
     split = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id",
+                        text_hash(F.col("text")).alias("text_hash"),
                         words(lower_ascii(F.col("text")), WORDS).alias("w"))
-    each = split.select("row_id", "doc_id", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "term"))
+    each = split.select("row_id", "doc_id", "text_hash", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "term"))
     known = terms.select("term", "term_id").union(
         terms.sparkSession.createDataFrame([("", 0)], "term string, term_id int"))
     joined = each.join(checked_broadcast(known, n_terms), "term")
-    return stored(joined.select("row_id", F.when(F.col("term_id") == 0, F.col("doc_id")).alias("doc_id"),
-                                "term_id", "pos"), "postings")
+    length = F.col("term_id") == 0
+    return stored(joined.select("row_id", F.when(length, F.col("doc_id")).alias("doc_id"),
+                                F.when(length, F.col("text_hash")).alias("text_hash"), "term_id", "pos"), "postings")
 
 
 def lookup(index: DataFrame, phrases: DataFrame, reach: int = 0) -> DataFrame:
@@ -108,7 +111,7 @@ def number_terms(windows: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, hit_share: int = HIT_SHARE) -> DataFrame:
-    """One row per row of ``docs``: row_id, doc_id, n_words, n_hit, n_items, items (those
+    """One row per row of ``docs``: row_id, doc_id, text_hash, n_words, n_hit, n_items, items (those
     with an occurring window, sorted as strings), items_sha256, contaminated.
 
     A word is hit if it lies in an occurrence of a window; a row is contaminated if at
@@ -134,11 +137,11 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, h
     owners = windows.select(F.col("window_id").alias("phrase_id"), F.col("item_id").cast("string").alias("item"))
     met = matches.select("row_id", "phrase_id").distinct().join(owners, "phrase_id")
     named = met.groupBy("row_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    rows = index.where("term_id = 0").select("row_id", "doc_id", F.col("pos").cast("long").alias("n_words"))
+    rows = index.where("term_id = 0").select("row_id", "doc_id", "text_hash", F.col("pos").cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     found = F.coalesce("items", F.array().cast("array<string>"))
     return (rows.join(hits, "row_id", "left").join(named, "row_id", "left")
-            .select("row_id", "doc_id", "n_words", n_hit.alias("n_hit"),
+            .select("row_id", "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"),
                     F.size(found).cast("long").alias("n_items"), found.alias("items"),
                     F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
                     ((n_hit > 0) & (hit_share * n_hit >= F.col("n_words"))).alias("contaminated")))

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcart.llm.common import NOT_WHITE, stored, words
+from loomcart.llm.common import NOT_WHITE, stored, text_hash, words
 
 # Weight at the start and at the end of training, linear between; means 5, 2, 1.
 SCHEDULE = ((7.5, 2.5), (2.0, 2.0), (0.5, 1.5))
@@ -26,11 +26,11 @@ KEY_BITS = 60
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size in words and the ordering key of every row."""
+    """doc_id, text_hash, source, size in words and the ordering key of every row."""
     key = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, KEY_BITS // 4),
                  16, 10).cast("long")
     return docs.select(
-        "doc_id", "source", F.size(words(F.col("text"), NOT_WHITE)).cast("long").alias("size"),
+        "doc_id", text_hash(F.col("text")).alias("text_hash"), "source", F.size(words(F.col("text"), NOT_WHITE)).cast("long").alias("size"),
         key.alias("key"))
 
 
@@ -75,8 +75,9 @@ def position_at(words_before, target, slope):
 
 
 def mix(docs: DataFrame, schedule=SCHEDULE) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target, taken, copies,
-    position (of the first copy; null if it is not taken) and source, sorted by position.
+    """One row per row of ``docs``: doc_id, text_hash, source, size, source_size,
+    target, taken, copies, positions (one for each copy) and position (the first, null if
+    there is none), sorted by position.
 
     A source takes its documents in whole passes as often as its target allows and the
     last pass up to the document whose middle the target reaches, so it misses its target
@@ -98,7 +99,7 @@ def mix(docs: DataFrame, schedule=SCHEDULE) -> DataFrame:
                          F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("start"))
     goals = targets(sizes, schedule).withColumnRenamed("source", "s")
     starts = starts.join(goals, starts["s"].eqNullSafe(goals["s"])).drop(goals["s"])
-    inside = (Window.partitionBy("source", "block").orderBy("key", "doc_id", "size")
+    inside = (Window.partitionBy("source", "block").orderBy("key", "doc_id", "text_hash")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (blocked.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
               .withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))))
@@ -108,7 +109,11 @@ def mix(docs: DataFrame, schedule=SCHEDULE) -> DataFrame:
     extra = (F.col("source_size") > 0) & (middle <= rest)
     copies = (passes + extra.cast("long")).cast("long")
     done = placed.withColumn("copies", copies)
-    return done.select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies",
-        F.when(F.col("copies") > 0, position_at(middle, F.col("target"), F.col("slope"))).alias("position"),
-        "source").orderBy("position", "source", "doc_id")
+    passes_before = F.sequence(F.lit(0), F.col("copies").cast("int") - 1)
+    places = F.when(F.col("copies") > 0, F.transform(passes_before, lambda k: position_at(
+        k * F.col("source_size") + middle, F.col("target"), F.col("slope"))))
+    return (done.withColumn("positions", F.coalesce(places, F.array().cast("array<double>")))
+            .select("doc_id", "text_hash", "source", "size", "source_size", "target",
+                    (F.col("copies") * F.col("size")).alias("taken"), "copies", "positions",
+                    F.get("positions", F.lit(0)).alias("position"))
+            .orderBy("position", "source", "doc_id"))

@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from loomcart.catalog.registry import query
-from loomcart.llm import decontaminate, exact_dedup, html_text, mixing, quality, secrets, simhash, token_files, warc
+from loomcart.llm import (
+    decontaminate,
+    exact_dedup,
+    html_text,
+    licenses,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    token_files,
+    warc,
+)
 from loomcart.llm.common import table
 from loomcart.llm.sql import DECONTAMINATION, EXACT_DEDUP, MIXING, WARC
 from loomcart.session import scratch_path
 
 
-def tokenizer() -> str:
-    """The public byte-level BPE; TOKENIZER_FILE names another file."""
-    named = os.environ.get("TOKENIZER_FILE")
-    if named:
-        return named
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query("op1_html_text")
 def op1(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -33,6 +33,15 @@ def op2(spark, sf_dir):
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op3_licenses")
+def op3(spark, sf_dir):
+    """Documents as files in folders by source, language and number."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text"))
+
+
 @query("op4_decontamination", DECONTAMINATION)
 def op4(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
@@ -52,7 +61,7 @@ def op6(spark, sf_dir):
 
 @query("op7_token_files")
 def op7(spark, sf_dir):
-    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer(), scratch_path(spark, "tokens"))
+    return token_files.round_trip(table(spark, sf_dir, "documents"), corpus_pipeline.tokenizer(), scratch_path(spark, "tokens"))
 
 
 @query("op8_exact_dedup", EXACT_DEDUP)
@@ -63,10 +72,17 @@ def op8(spark, sf_dir):
 
 @query("op9_simhash")
 def op9(spark, sf_dir):
-    return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+    found = simhash.near_groups(table(spark, sf_dir, "documents"))
+    each = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return each.select("doc_id", "fingerprint", "component_id")
 
 
 @query("op10_mixing", MIXING)
 def op10(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies", "position")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcart.llm.common import stored
+from loomcart.llm.common import stored, text_hash
 from loomcart.session import remove_path, scratch_path
 
 SHINGLE_WORDS = 4
@@ -55,18 +55,20 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row, from the whole text."""
+    """doc_id, text_hash and fp (the fingerprint as a signed long) of every row, from the
+    whole text."""
 
     def of(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             values = np.array([fingerprint(t.as_py(), shingle_words) for t in texts], dtype="<u8")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values.view("<i8"), pa.int64())], names=["doc_id", "fp"])
+                [batch.column(0), batch.column(2), pa.array(values.view("<i8"), pa.int64())],
+                names=["doc_id", "text_hash", "fp"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         F.coalesce("text", F.lit("")).alias("text"))
-    return narrow.mapInArrow(of, "doc_id long, fp long")
+                         F.coalesce("text", F.lit("")).alias("text"), text_hash(F.col("text")).alias("text_hash"))
+    return narrow.mapInArrow(of, "doc_id long, text_hash long, fp long")
 
 
 def _decode_block(value: np.ndarray, length: int) -> np.ndarray:
@@ -250,23 +252,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                 parts=PARTS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp, fingerprint (hex), component_id, copies
-    (rows with its doc_id and fingerprint).
+    """One row per distinct doc_id and text of ``docs``: doc_id, text_hash, fingerprint
+    (hex), component_id, kept (one row of each component) and copies (rows of ``docs``).
 
     Fingerprints of at most ``max_bits`` differing bits are linked, and component_id is
     the smallest doc_id reachable. Null, empty and white texts have fingerprint zero,
     which is linked like any other. Null doc_ids count for no component_id; it is null
-    where a component has no other. Repeated rows stay, each with its component. An empty
-    table gives no rows; other columns are not read.
+    where a component has no other. The row that stays has the component's id, and of
+    several such rows the smallest text_hash. An empty table gives no rows; other columns
+    are not read.
     """
-    rows = stored(fingerprints(docs, shingle_words).groupBy("doc_id", "fp").agg(
+    rows = stored(fingerprints(docs, shingle_words).groupBy("doc_id", "text_hash", "fp").agg(
         F.count(F.lit(1)).alias("copies")), "fingerprints")
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
+    classes = stored(rows.groupBy("fp").agg(first.alias("first")), "classes")
     edges = links(classes, classes.count(), parts, max_bits)
-    roots = components(edges)
-    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    ids = rooted.join(named, "root").select("fp", "component_id")
-    return (rows.join(ids, "fp")
-            .select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    "component_id", "copies"))
+    rooted = classes.join(components(edges), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = rooted.groupBy("root").agg(F.min("first").alias("stays"))
+    stays = rooted.join(named, "root").select("fp", "stays")
+    kept = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_hash") == F.col("stays.text_hash"))
+    return (rows.join(stays, "fp")
+            .select("doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                    F.col("stays.doc_id").alias("component_id"), kept.alias("kept"), "copies"))
