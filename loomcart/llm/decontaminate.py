@@ -49,7 +49,8 @@ def build_index(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
 def lookup(index: DataFrame, phrases: DataFrame, reach: int = 0) -> DataFrame:
     """row_id, phrase_id, start of every occurrence of ``phrases`` (phrase_id, offset,
     term_id; one row per word). With ``reach`` > 0, proximity: every further term may
-    stand up to so many words before or after its own place.
+    stand up to so many words before or after its place beside the rarest; the start is
+    then counted from the rarest term and may lie before the row.
 
     The list of the rarest term gives the candidates. The second rarest cuts them down;
     the rest are intersected in one step, which each candidate has to pass for every term.
@@ -75,8 +76,8 @@ def lookup(index: DataFrame, phrases: DataFrame, reach: int = 0) -> DataFrame:
     rarest = ranked.where("rank = 1").select("phrase_id", "offset", "term_id", "n")
     found = stored(
         postings.join(checked_broadcast(rarest, n_rows), "term_id")
-        .select("row_id", "phrase_id", (F.col("pos") - F.col("offset")).alias("start"), "n").where("start >= 0"),
-        "candidates")
+        .select("row_id", "phrase_id", (F.col("pos") - F.col("offset")).alias("start"), "n")
+        .where("start >= 0" if reach == 0 else "true"), "candidates")
 
     shifts = F.sequence(F.lit(-reach), F.lit(reach))
 

@@ -1,16 +1,18 @@
 """Main text of web pages by the maximum-scoring subsequence of words and tags.
 
 A page is a sequence of words and tags. Words score positive and tags negative; words in
-links and in page furniture score by how often they stand in articles. The weights are
-log-likelihood ratios counted over the labelled pages: those that mark one article of
-their own (``article`` or ``main``). A linear scan finds the contiguous region with the
-greatest sum; its text without furniture is the page's main text.
+links score by how often they stand in articles. Elements that are page furniture by name
+or class are left out and stand as one tag, so that an advert costs an article little. The
+weights are log-likelihood ratios counted over the labelled pages: those that mark one
+article of their own (``article`` or ``main``). A linear scan finds the contiguous region
+with the greatest sum, whose text is the page's main text.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,11 +30,14 @@ BLOCK = frozenset(
 INLINE = frozenset(
     "a abbr b bdi bdo cite code data del dfn em font i img ins kbd label mark q ruby s samp small span strong sub "
     "sup time tt u var wbr".split())
+TEXT_BLOCK = frozenset(
+    "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tr td th tbody thead tfoot caption figure figcaption "
+    "hr br img".split())
 # Elements whose end tag may be left out, and what opens where they end.
 CLOSED_BY = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
              "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
              "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option", "optgroup"}}
-ARTICLE = frozenset(("article", "main"))
+CLOSES = {name: {o for o, by in CLOSED_BY.items() if name in by} for by in CLOSED_BY.values() for name in by}
 # Furniture: elements, and words of class, id and role that name it.
 FURNITURE = frozenset(
     "head script style nav header footer aside form noscript iframe template button select textarea svg canvas "
@@ -48,20 +53,20 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _NAMING = re.compile(r"""(?:^|[\s"'])(class|id|role|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
-_WORD = re.compile(r"[^\W_]+")
 
 LEAST_COST = -0.01  # no tag scores more
-UNSEEN = -1.0  # score of a tag that the labelled pages don't have
+# Scores of tags that the labelled pages don't have: formatting, blocks of text, others.
+UNSEEN_INLINE, UNSEEN_TEXT, UNSEEN = -0.01, -0.1, -1.0
 MOST = 8.0  # no score is further from zero
-PLAIN, LINK, FURNISHED = "words", "words in links", "words in furniture"
+FURNITURE_COST = -0.5  # one piece of furniture costs no more
+PLAIN, LINK, PIECE = "words", "words in links", "furniture"
 
 
 @dataclass
 class Token:
-    kind: str  # one of the three kinds of words, or a tag's name
-    text: str | None  # None for tags
+    kind: str  # of words, a tag's name, or PIECE
+    text: str | None  # None for tags and furniture
     words: int
-    shown: bool  # text outside furniture
 
 
 def _names_furniture(attributes: str) -> bool:
@@ -75,21 +80,22 @@ def _names_furniture(attributes: str) -> bool:
 
 
 def tokens(page: str) -> list[Token]:
-    """Words and tags of a page in order; comments are left out, character references
-    decoded, and raw text (scripts and such) kept whole up to its end tag."""
+    """Words and tags of a page in order; comments are left out, furniture stands as one
+    token, and character references are decoded. Raw text (scripts and such) reaches up to
+    its end tag."""
     out: list[Token] = []
     opened: list[tuple[str, bool, bool]] = []  # name, furniture, link; both include what is around
-    at, size = 0, len(page)
+    names: Counter[str] = Counter()  # of what is open: looked at before the stack is walked
+    at, size, last = 0, len(page), page.rfind(">")
 
     def add_text(raw: str) -> None:
-        if raw:
+        furniture, link = opened[-1][1:] if opened else (False, False)
+        if raw and not furniture:
             text = html.unescape(raw)
-            furniture, link = opened[-1][1:] if opened else (False, False)
-            kind = FURNISHED if furniture else LINK if link else PLAIN
-            out.append(Token(kind, text, len(_WORD.findall(text)), not furniture))
+            out.append(Token(LINK if link else PLAIN, text, len(text.split())))
 
     while at < size:
-        found = _TAG.search(page, at)
+        found = _TAG.search(page, at) if at <= last or "<!" in page[at:] or "<?" in page[at:] else None
         if not found:
             add_text(page[at:])
             break
@@ -98,27 +104,35 @@ def tokens(page: str) -> list[Token]:
         name = (found[2] or found[5] or "").lower()
         if not name:  # a comment or declaration
             continue
-        around = opened[-1][1] if opened else False
         if found[1] or found[4]:
-            if any(o[0] == name for o in reversed(opened)):
-                while opened.pop()[0] != name:
-                    pass
-            out.append(Token(_tag_kind("/" + name, around), None, 0, False))
+            inside = bool(opened) and opened[-1][1]
+            if names[name]:
+                while True:
+                    closed = opened.pop()[0]
+                    names[closed] -= 1
+                    if closed == name:
+                        break
+            if not inside:
+                out.append(Token("/" + _known(name), None, 0))
             continue
         attributes = found[3] or found[6] or ""
-        for i in range(len(opened) - 1, -1, -1):
-            other = opened[i][0]
-            if other in CLOSED_BY and name in CLOSED_BY[other]:
-                del opened[i:]
-                break
-            if other not in INLINE:
-                break
-        around = opened[-1][1] if opened else False
+        if any(names[o] for o in CLOSES.get(name, ())):
+            for i in range(len(opened) - 1, -1, -1):
+                other = opened[i][0]
+                if other in CLOSES[name]:
+                    names.subtract(o[0] for o in opened[i:])
+                    del opened[i:]
+                    break
+                if other not in INLINE:
+                    break
+        around, link = opened[-1][1:] if opened else (False, False)
         furniture = around or name in FURNITURE or _names_furniture(attributes)
-        out.append(Token(_tag_kind(name, furniture), None, 0, False))
+        if not around:
+            out.append(Token(PIECE if furniture else _known(name), None, 0))
         if name in VOID:
             continue
-        opened.append((name, furniture, name == "a" or bool(opened and opened[-1][2])))
+        opened.append((name, furniture, link or name == "a"))
+        names[name] += 1
         if name in RAW:
             end = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
             add_text(page[at:end.start() if end else size])
@@ -126,10 +140,8 @@ def tokens(page: str) -> list[Token]:
     return out
 
 
-def _tag_kind(name: str, furniture: bool) -> str:
-    bare = name.lstrip("/")
-    known = name if bare in BLOCK or bare in INLINE or bare in VOID or bare in FURNITURE else "other"
-    return f"{known} in furniture" if furniture else known
+def _known(name: str) -> str:
+    return name if name in BLOCK or name in INLINE or name in VOID else "other"
 
 
 def marked_region(page: list[Token]) -> tuple[int, int] | None:
@@ -176,10 +188,10 @@ def learn(pages: DataFrame) -> dict[str, float]:
     for kind, inside, outside in counts:
         ratio = float(np.log((inside + 0.5) / all_in) - np.log((outside + 0.5) / all_out))
         scores[kind] = float(np.clip(ratio, -MOST, MOST))
-        if kind not in (PLAIN, LINK, FURNISHED):
+        if kind not in (PLAIN, LINK):
             scores[kind] = min(scores[kind], LEAST_COST)
     scores[PLAIN] = float(np.clip(scores.get(PLAIN, 1.0), 0.1, 1.0))
-    scores[FURNISHED] = min(scores.get(FURNISHED, -MOST), LEAST_COST)
+    scores[PIECE] = max(scores.get(PIECE, FURNITURE_COST), FURNITURE_COST)
     return scores
 
 
@@ -199,22 +211,25 @@ def best_region(scores: np.ndarray) -> tuple[int, int]:
     return start, end
 
 
+def unseen(kind: str) -> float:
+    name = kind.lstrip("/")
+    if kind == PLAIN:
+        return 1.0
+    if kind == PIECE:
+        return FURNITURE_COST
+    return UNSEEN_INLINE if name in INLINE else UNSEEN_TEXT if name in TEXT_BLOCK else UNSEEN
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
     found = tokens(page)
-    scores = np.array([weights.get(t.kind, UNSEEN) * (1 if t.text is None else t.words) for t in found])
+    scores = np.array([weights[t.kind] if t.kind in weights else unseen(t.kind) for t in found])
+    scores *= np.array([1 if t.text is None else t.words for t in found])
     start, end = best_region(scores)
-    # Marks without words (a rule of dots, a lone bracket) score nothing; those that adjoin
-    # the region in its block belong to it.
-    while end < len(found) and (found[end].shown or found[end].kind.lstrip("/") in INLINE) and start < end:
-        end += 1
-    while start and start < end and (found[start - 1].shown or found[start - 1].kind.lstrip("/") in INLINE):
-        start -= 1
     parts = []
     for token in found[start:end]:
         if token.text is not None:
-            if token.shown:
-                parts.append(token.text)
-        elif token.kind.removesuffix(" in furniture").lstrip("/") not in INLINE:
+            parts.append(token.text)
+        elif token.kind.lstrip("/") not in INLINE:
             parts.append(" ")
     return " ".join("".join(parts).split())
 
@@ -224,7 +239,7 @@ def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFr
     none) and n_chars (its code points).
 
     ``weights`` are learnt from ``pages`` unless given; without any labelled page plain
-    words score one and tags UNSEEN. A null or empty html has no text. Repeated rows give
+    words score one and tags as ``unseen`` says. A null or empty html has no text. Repeated rows give
     repeated rows; an empty table gives none; other columns are not read.
     """
     weights = learn(pages) if weights is None else weights
