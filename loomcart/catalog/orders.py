@@ -141,14 +141,14 @@ def _(spark, sf_dir):
     return done.select("customer_id", "name", "segment", "signup_date")
 
 
-@query("required_columns", """
-SELECT column_name, column_name <> 'coupon_code' AS is_present
+@query("required_columns", f"""WITH {RAW_ORDERS}
+SELECT column_name, column_name <> 'coupon_code' AS is_present, n AS row_count
 FROM (SELECT unnest(['order_id', 'customer_id', 'quantity', 'coupon_code']) AS column_name),
-     (SELECT count(*) AS n FROM lineitem)""")
+     (SELECT count(*) AS n FROM raw_orders)""")
 def _(spark, sf_dir):
     report = column_report(given.raw_orders(spark, sf_dir),
                            ["order_id", "customer_id", "quantity", "coupon_code"])
-    return report.select("column_name", "is_present")
+    return report.select("column_name", "is_present", "row_count")
 
 
 @query("null_counts", f"""WITH {RAW_ORDERS}, holed AS (

@@ -11,13 +11,13 @@ from loomcart.catalog import adapters as given
 from loomcart.catalog.events import HOURLY_SQL, plain_revenue
 from loomcart.catalog.oracle import DELIVERED, PROCESSED, alert_text
 from loomcart.catalog.registry import query, text_list
-from loomcart.operators.sinks import current_runs, write_events
+from loomcart.operators.sinks import current_runs, insert_ignore
 from loomcart.plans.events_job import clean
 from loomcart.schemas import KAFKA_SCHEMA
 from loomcart.session import STATE_STORE, scratch_path
 from loomcart.sources.events import KAFKA_ORDER, parse_kafka
 from loomcart.streaming.dedup import dedup_stream
-from loomcart.streaming.ingest import load_state, start_ingest, write_batch
+from loomcart.streaming.ingest import checkpoint_id, load_state, output, start_ingest, write_batch
 from loomcart.streaming.summaries import latest_updates, refresh_summaries, windowed_revenue
 
 # The month is handed over in four parts, oldest first.
@@ -41,7 +41,7 @@ def _stream(spark: SparkSession, path: str, schema, files: int) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-_INGESTED: dict[tuple[str, str], tuple[str, int]] = {}
+_INGESTED: dict[tuple[str, str], tuple[str, int, str]] = {}
 
 
 def ingested(spark: SparkSession, sf_dir: str) -> str:
@@ -50,19 +50,26 @@ def ingested(spark: SparkSession, sf_dir: str) -> str:
     if key not in _INGESTED:
         base = scratch_path(spark, "ingest")
         files = _write_parts(given.delivered_messages(spark, sf_dir), f"{base}/topic")
-        _ingest(spark, base, files, "first")
-        _INGESTED[key] = (base, files)
+        run = _ingest(spark, base, files, "first")
+        _INGESTED[key] = (base, files, run)
     return f"{_INGESTED[key][0]}/tables"
 
 
-def _ingest(spark: SparkSession, base: str, files: int, run: str) -> None:
+def first_run(spark: SparkSession, sf_dir: str) -> str:
+    """Name of that ingest's run; a replay is another run over the same tables."""
+    ingested(spark, sf_dir)
+    return _INGESTED[spark.sparkContext.applicationId, sf_dir][2]
+
+
+def _ingest(spark: SparkSession, base: str, files: int, name: str) -> str:
+    checkpoint = f"{base}/checkpoint-{name}"
     start_ingest(_stream(spark, f"{base}/topic", KAFKA_SCHEMA, files), parse_kafka, f"{base}/tables",
-                 f"{base}/checkpoint-{run}", window_seconds=_LONG_WINDOW,
-                 interval=None).awaitTermination()
+                 checkpoint, window_seconds=_LONG_WINDOW, interval=None).awaitTermination()
+    return checkpoint_id(spark, checkpoint)
 
 
 _STORED = f"""WITH {PROCESSED}
-SELECT coalesce(event_id, substr(sha256(_kafka_partition || '|' || _kafka_offset), 1, 32)) AS event_id,
+SELECT coalesce(event_id, substr(sha256('events|' || _kafka_partition || '|' || _kafka_offset), 1, 32)) AS event_id,
        event_type, user_id, session_id, "timestamp", amount::DOUBLE AS amount, currency,
        null_flags AS _null_flags, _kafka_offset
 FROM good WHERE "timestamp" IS NOT NULL AND event_type IS NOT NULL"""
@@ -83,7 +90,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The whole topic is read once more into the same tables, as after a lost checkpoint."""
     tables = ingested(spark, sf_dir)
-    base, files = _INGESTED[spark.sparkContext.applicationId, sf_dir]
+    base, files, _ = _INGESTED[spark.sparkContext.applicationId, sf_dir]
     _ingest(spark, base, files, f"again-{time.time_ns()}")
     return _stored(spark, tables)
 
@@ -92,7 +99,7 @@ def _(spark, sf_dir):
 SELECT _kafka_offset, amount, {alert_text('amount', 'z', 'mean', 'sd')} AS _anomaly_alert FROM alerts""")
 def _(spark, sf_dir):
     """The amount history is carried from batch to batch."""
-    alerts = spark.read.parquet(f"{ingested(spark, sf_dir)}/alerts")
+    alerts = output(spark, ingested(spark, sf_dir), "alerts")
     return alerts.select("_kafka_offset", "amount", "_anomaly_alert")
 
 
@@ -102,7 +109,8 @@ SELECT (CASE WHEN day(arrival) <= 8 THEN 0 WHEN day(arrival) <= 16 THEN 1
        count(*) AS batch_size FROM delivered GROUP BY 1""")
 def _(spark, sf_dir):
     """The size history the fourth batch left behind."""
-    return load_state(spark, ingested(spark, sf_dir), "batch_sizes", len(_PARTS)).select(
+    return load_state(spark, ingested(spark, sf_dir), "batch_sizes", len(_PARTS),
+                      first_run(spark, sf_dir)).select(
         "batch_id", "batch_size")
 
 
@@ -114,7 +122,8 @@ SELECT (SELECT count(*) FROM delivered) AS ingested,
        (SELECT count(*) FROM alerts) AS anomalies_detected""")
 def _(spark, sf_dir):
     """The run log has one row per batch, however often a batch was run."""
-    log = spark.read.parquet(f"{ingested(spark, sf_dir)}/run_log")
+    log = spark.read.parquet(f"{ingested(spark, sf_dir)}/run_log").filter(
+        F.col("run_id").startswith(first_run(spark, sf_dir)))
     return current_runs(log, ["logged_at"]).agg(F.sum("records_ingested").alias("ingested"),
                    F.sum("records_rejected").alias("rejected"),
                    F.sum("records_flagged").alias("flagged"),
@@ -122,6 +131,35 @@ def _(spark, sf_dir):
                    F.sum("anomalies_detected").alias("anomalies_detected"))
 
 
+@query("stream_new_checkpoint", f"""WITH {PROCESSED}
+SELECT 'quarantine' AS kind, i * 4 + copy AS message FROM raw_messages_broken, (SELECT unnest([0, 1, 2, 3]) AS copy)
+UNION ALL SELECT 'rejected', _kafka_offset FROM firsts WHERE outcome = 'rejected'
+UNION ALL SELECT 'alerts', _kafka_offset FROM alerts
+UNION ALL SELECT 'events', _kafka_offset FROM good WHERE "timestamp" IS NOT NULL AND event_type IS NOT NULL
+UNION ALL SELECT 'run log', count(*) FROM delivered""".replace(
+    "raw_messages_broken", "(SELECT event_id AS i FROM events WHERE event_id % 97 = 5 OR event_id % 89 = 7)"))
+def _(spark, sf_dir):
+    """Three quarters of the topic are read; then a new checkpoint reads all of it, with
+    new messages and in other batches. Nothing is lost and nothing comes twice."""
+    base = scratch_path(spark, "renewed")
+    messages = given.delivered_messages(spark, sf_dir)
+    day = F.dayofmonth("timestamp")
+    files = max(8, messages.rdd.getNumPartitions())
+    for first, last in _PARTS[:3]:
+        messages.filter((day > first) & (day <= last)).repartition(files).write.mode("append").parquet(f"{base}/topic")
+    _ingest(spark, base, files, "first")
+    messages.filter(day > _PARTS[3][0]).repartition(files).write.mode("append").parquet(f"{base}/topic")
+    run = _ingest(spark, base, 2 * files, "second")
+    tables = f"{base}/tables"
+    kinds = [output(spark, tables, name).select(F.lit(name).alias("kind"), F.col("_kafka_offset").alias("message"))
+             for name in ("quarantine", "rejected", "alerts")]
+    events = spark.read.parquet(f"{tables}/events").select(
+        F.lit("events").alias("kind"), F.col("_kafka_offset").alias("message"))
+    log = current_runs(spark.read.parquet(f"{tables}/run_log"), ["logged_at"]).filter(F.col("run_id").startswith(run))
+    total = log.agg(F.lit("run log").alias("kind"), F.sum("records_ingested").alias("message"))
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).unionByName(events).unionByName(total)
+
+
 def drain(query, rows: int, timeout: float = 300.0) -> None:
     """Wait until a query without an end has read ``rows`` rows, then stop it."""
     end = time.time() + timeout
@@ -165,7 +203,9 @@ def _(spark, sf_dir):
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        write_events(batch.withColumn("batch_id", F.lit(batch_id)), f"{base}/events")
+        # Keyed by the event id: a retried batch adds nothing.
+        insert_ignore(batch.withColumn("event_date", F.to_date("timestamp")), f"{base}/events",
+                      order_by=["timestamp"], partition_by=["event_date"])
         refresh_summaries(batch, session.read.parquet(f"{base}/events"), f"{base}/views")
 
     (_stream(spark, f"{base}/in", schema, files).writeStream.foreachBatch(handle)
@@ -186,4 +226,4 @@ def _(spark, sf_dir):
      .foreachBatch(lambda batch, batch_id: write_batch(batch, base, "updates", batch_id))
      .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
      .awaitTermination())
-    return plain_revenue(latest_updates(spark.read.parquet(f"{base}/updates"), ["hour", "currency"]))
+    return plain_revenue(latest_updates(spark.read.parquet(f"{base}/updates"), ["hour", "currency"]).drop("run"))

@@ -26,11 +26,15 @@ def _statistics(df: DataFrame, value: str, frame) -> DataFrame:
 
 
 def _alert(df: DataFrame, value: str, threshold: float, min_values: int) -> DataFrame:
-    """Adds ``z_score`` (null while it is not defined) and ``is_alert``."""
+    """Adds ``z_score`` (null while it is not defined or not finite) and ``is_alert``.
+
+    Sums of huge amounts overflow to infinity or NaN, which Spark takes to be greater than
+    any threshold."""
     ready = (F.col("window_count") >= min_values) & (F.col("window_stdev") > 0)
     z = F.when(ready, F.abs(F.col(value).cast("double") - F.col("window_mean"))
                / F.col("window_stdev"))
-    return df.withColumn("z_score", z).withColumn(
+    finite = F.when(z < float("inf"), z)
+    return df.withColumn("z_score", finite).withColumn(
         "is_alert", F.coalesce(F.col("z_score") > threshold, F.lit(False)))
 
 

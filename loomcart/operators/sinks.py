@@ -6,7 +6,7 @@ catalogs whose tables support MERGE use ``merge_rows``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomcart.functions.joins import fits_broadcast
@@ -14,6 +14,7 @@ from loomcart.operators.dedup import first_per_key
 from loomcart.operators.quality import assert_unique
 from loomcart.schemas import EVENT_SCHEMA, RUN_SCHEMA
 from loomcart.session import cut_lineage, path_exists
+from loomcart.sources.events import MESSAGE_KEY
 
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
@@ -54,12 +55,19 @@ def load_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append",
 def to_event_rows(accepted: DataFrame) -> DataFrame:
     """Accepted rows in the columns and types of the events table.
 
-    A missing event id becomes a hash of the message coordinates, so that a retried
-    message gets the same id again; without coordinates it is a hash of the content.
+    A missing event id becomes a hash of the message coordinates, topic included, so that
+    a retried message gets the same id again and another message another one. Without
+    coordinates it is a hash of the message as it came, or else of all its columns, with
+    null, absent and empty told apart.
     """
-    coordinates = [c for c in ("_kafka_partition", "_kafka_offset") if c in accepted.columns]
-    basis = coordinates or ["user_id", "event_type", "timestamp_text", "session_id", "amount"]
-    joined = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in basis])
+    coordinates = [c for c in MESSAGE_KEY if c in accepted.columns]
+    if coordinates:
+        joined = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in coordinates])
+    elif "raw" in accepted.columns:
+        joined = F.col("raw")
+    else:
+        joined = F.to_json(F.struct(*sorted(c for c in accepted.columns if not c.startswith("_"))),
+                           {"ignoreNullFields": "false"})
     filled = {
         "event_id": F.coalesce(F.nullif(F.col("event_id"), F.lit("")),
                                F.substring(F.sha2(joined, 256), 1, 32)),
@@ -70,16 +78,25 @@ def to_event_rows(accepted: DataFrame) -> DataFrame:
     }
     rows = accepted.withColumns({k: v for k, v in filled.items()
                                  if k not in accepted.columns or k == "event_id"})
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA])
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA])
+
+
+def _obstacle() -> Column:
+    """Why the events table cannot hold a row; null if it can."""
+    held = F.col("amount").try_cast(EVENT_SCHEMA["amount"].dataType)
+    return (F.when(F.col("timestamp").isNull(), "no time")
+            .when(F.col("event_type").isNull(), "no type")
+            .when(F.col("amount").isNotNull() & held.isNull(), "amount out of range"))
 
 
 def storable(accepted: DataFrame) -> DataFrame:
-    """Rows the events table can hold: it needs a time and a type."""
-    return accepted.filter(F.col("timestamp").isNotNull() & F.col("event_type").isNotNull())
+    """Rows the events table can hold: it needs a time, a type and an amount that fits."""
+    return accepted.filter(_obstacle().isNull())
 
 
 def not_storable(accepted: DataFrame) -> DataFrame:
-    return accepted.filter(F.col("timestamp").isNull() | F.col("event_type").isNull())
+    """The other rows, with the reason."""
+    return accepted.withColumn("_reason", _obstacle()).filter("_reason is not null")
 
 
 def known_keys(fresh: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -100,9 +117,12 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
     """Append the first row of every key the target does not hold yet.
 
     Inserted and skipped rows are counted apart. Running it again with the same batch
-    changes nothing, which makes at-least-once delivery safe.
+    changes nothing, which makes at-least-once delivery safe. Rows without a key are told
+    apart by all their columns, so none takes another's place.
     """
     spark = batch.sparkSession
+    if not batch.filter(F.col(key).isNull()).isEmpty():
+        return _insert_unkeyed(batch, path, key, order_by, partition_by)
     order_by = order_by or [c for c in batch.columns if c != key]
     first = cut_lineage(first_per_key(batch, [key], order_by, copies="_copies"))
     counts = first.agg(F.count(F.lit(1)).alias("keys"),
@@ -120,6 +140,26 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
     return {"inserted": inserted, "skipped": counts["rows"] - inserted}
 
 
+def _insert_unkeyed(batch: DataFrame, path: str, key: str, order_by: list[str] | None,
+                    partition_by: list[str] | None) -> dict[str, int]:
+    """Insert a batch in which keys are null: those rows on their own, by a hash of theirs."""
+    spark = batch.sparkSession
+    named = insert_ignore(batch.filter(F.col(key).isNotNull()), path, key, order_by, partition_by)
+    content = F.sha2(F.to_json(F.struct(*sorted(batch.columns)), {"ignoreNullFields": "false"}), 256)
+    unnamed = batch.filter(F.col(key).isNull()).withColumn("_content", content)
+    first = cut_lineage(first_per_key(unnamed, ["_content"], order_by or batch.columns, copies="_copies"))
+    offered = first.agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0]
+    fresh = first.drop("_copies")
+    if path_exists(spark, path):
+        held = (spark.read.schema(batch.schema).parquet(path).filter(F.col(key).isNull())
+                .withColumn("_content", content))
+        fresh = cut_lineage(fresh.join(known_keys(first, held, "_content"), "_content", "left_anti"))
+    added = fresh.count()
+    if added:
+        fresh.select(*batch.columns).write.mode("append").partitionBy(*partition_by or []).parquet(path)
+    return {"inserted": named["inserted"] + added, "skipped": named["skipped"] + offered - added}
+
+
 def merge_rows(fresh: DataFrame, table: str, key: str, update: list[str] | None = None) -> None:
     """MERGE into a catalog table that supports it: insert new keys and, when
     ``update`` is given, set those columns of known keys."""

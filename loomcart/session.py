@@ -24,7 +24,9 @@ def build_session(app_name: str = "loomcart", master: str | None = None, **conf)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {**SESSION_CONF, "spark.sql.streaming.stateStore.providerClass": STATE_STORE}
+    settings = {**SESSION_CONF, "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+                # Checkpoints go with the rows they hold; each micro-batch makes several.
+                "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -10,7 +10,9 @@ from loomcart.schemas import RAW_NAMES, TEXT_FIELDS
 
 # Total arrival order of Kafka rows: offsets order rows inside one partition only,
 # so time comes first by convention.
-KAFKA_ORDER = ["_kafka_timestamp", "_kafka_partition", "_kafka_offset"]
+KAFKA_ORDER = ["_kafka_timestamp", "_kafka_topic", "_kafka_partition", "_kafka_offset"]
+# What names a message, whichever run reads it.
+MESSAGE_KEY = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
 
 
 def kafka_options(servers: str, topic: str, batch_rows: int = 500,
@@ -46,6 +48,7 @@ def parse_kafka(df: DataFrame) -> DataFrame:
         text.alias("raw"),
         df["offset"].alias("_kafka_offset"),
         df["partition"].alias("_kafka_partition"),
+        (F.coalesce(df["topic"], F.lit("")) if "topic" in df.columns else F.lit("")).alias("_kafka_topic"),
         F.unix_millis(df["timestamp"].cast("timestamp")).alias("_kafka_timestamp"),
     )
 

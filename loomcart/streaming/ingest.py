@@ -1,59 +1,86 @@
 """Streaming ingest: micro-batches of raw messages into the event tables.
 
-Every table a batch writes is keyed by the batch id or by the event id. A batch that is
-run again after a failure replaces its own output, so at-least-once delivery ends in
-each event once.
+Every table a batch writes is keyed by the run and the batch id, or by the event id. The
+run is the identity of the stream's checkpoint: a batch that is run again after a failure
+replaces its own output, and a new checkpoint, whose batches count from 0 again, replaces
+nothing. Messages that several runs have read are shown once by ``output``.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loomcart.operators.anomaly import WINDOW_SIZE, check_batch_sizes
-from loomcart.operators.dedup import dedup_batch
+from loomcart.operators.dedup import dedup_batch, first_per_key
 from loomcart.operators.sinks import (
     insert_ignore, log_run, not_storable, storable, to_event_rows,
 )
 from loomcart.operators.validate import rejected
 from loomcart.plans.events_job import classify, clean, finish, run_counters
 from loomcart.session import cut_lineage, path_exists, remove_path, spread
-from loomcart.sources.events import KAFKA_ORDER, quarantined
+from loomcart.sources.events import KAFKA_ORDER, MESSAGE_KEY, quarantined
 
 # Batches of at most this many rows are scored in one task.
 ONE_TASK_ROWS = 100_000
-# A restart repeats one batch at most, which reads the state before it.
-KEPT_STATES = 10
+# As many batches as the stream itself can go back (spark.sql.streaming.minBatchesToRetain).
+KEPT_STATES = 100
+# Of batches that are handed over without a stream.
+NO_RUN = "direct"
 
 
-def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
-    """Replace the output of one batch in a table that has a folder per batch."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gives a stream when it first writes this checkpoint. Restarts keep it."""
+    text = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return json.loads(text)["id"]
 
 
-def _state_path(root: str, name: str, batch_id: int) -> str:
-    return f"{root}/state/{name}/{batch_id}"
+def write_batch(df: DataFrame, root: str, name: str, batch_id: int, run: str = NO_RUN) -> None:
+    """Replace the output of one batch of one run."""
+    df.write.mode("overwrite").parquet(f"{root}/{name}/run={run}/batch_id={batch_id}")
 
 
-def load_state(spark: SparkSession, root: str, name: str, batch_id: int) -> DataFrame | None:
-    """What the batch before this one left behind. Only that one folder is looked at."""
-    path = _state_path(root, name, batch_id - 1)
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+def output(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """All rows of a table that batches write. A message that several runs have read comes
+    once, as the first batch by name wrote it."""
+    rows = spark.read.parquet(f"{root}/{name}")
+    key = [c for c in MESSAGE_KEY if c in rows.columns]
+    if not key:
+        return rows
+    return first_per_key(rows.withColumn("run", F.col("run").cast("string")), key, ["run", "batch_id"])
 
 
-def save_state(df: DataFrame, root: str, name: str, batch_id: int) -> None:
+def _state_path(root: str, name: str, batch_id: int, run: str) -> str:
+    return f"{root}/state/{run}/{name}/{batch_id}"
+
+
+def load_state(spark: SparkSession, root: str, name: str, batch_id: int, run: str = NO_RUN) -> DataFrame | None:
+    """What the batch before this one left behind; None for the first batch of a run.
+
+    Raises if it is gone: going on without it would keep repeats and lose alerts.
+    """
+    if batch_id == 0:
+        return None
+    path = _state_path(root, name, batch_id - 1, run)
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"state {name} of batch {batch_id - 1} of run {run} is gone: {path}")
+    return spark.read.parquet(path)
+
+
+def save_state(df: DataFrame, root: str, name: str, batch_id: int, run: str = NO_RUN) -> None:
     """Leave state to the next batch; state no restart can need any more is removed."""
-    df.write.mode("overwrite").parquet(_state_path(root, name, batch_id))
-    remove_path(df.sparkSession, _state_path(root, name, batch_id - KEPT_STATES))
+    df.write.mode("overwrite").parquet(_state_path(root, name, batch_id, run))
+    remove_path(df.sparkSession, _state_path(root, name, batch_id - KEPT_STATES, run))
 
 
 def drop_recent(rows: DataFrame, root: str, batch_id: int, now_ms: int, window_seconds: int,
-                order_by: list[str]) -> tuple[DataFrame, int]:
+                order_by: list[str], run: str = NO_RUN) -> tuple[DataFrame, int]:
     """Rows whose fingerprint was not kept within the window, and how many rows came in.
 
     All rows of a batch arrive at the batch's time, so at most one row per fingerprint
@@ -61,7 +88,7 @@ def drop_recent(rows: DataFrame, root: str, batch_id: int, now_ms: int, window_s
     is the fingerprints kept within the window.
     """
     unique = dedup_batch(rows, order_by, copies="_copies")
-    seen = load_state(rows.sparkSession, root, "fingerprints", batch_id)
+    seen = load_state(rows.sparkSession, root, "fingerprints", batch_id, run)
     if seen is None:
         unique = unique.withColumn("_seen", F.lit(None).cast("boolean"))
     else:
@@ -72,73 +99,94 @@ def drop_recent(rows: DataFrame, root: str, batch_id: int, now_ms: int, window_s
     offered = unique.agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0]
     kept = unique.filter(F.col("_seen").isNull()).drop("_seen")
     live = kept.select("fingerprint", F.lit(now_ms).cast("bigint").alias("kept_ms"))
-    save_state(live if seen is None else live.unionByName(seen), root, "fingerprints", batch_id)
+    save_state(live if seen is None else live.unionByName(seen), root, "fingerprints", batch_id, run)
     return kept, offered
 
 
 def keep_amounts(good: DataFrame, history: DataFrame | None, root: str, batch_id: int,
-                 order_by: list[str]) -> None:
+                 order_by: list[str], run: str = NO_RUN) -> None:
     """Store the last amounts, which the next batch's first windows reach back to."""
     amounts = good.filter(F.col("amount").isNotNull()).select(*order_by, "amount")
     if history is not None:
         amounts = amounts.unionByName(history)
     newest = amounts.orderBy(*[F.col(c).desc() for c in order_by]).limit(WINDOW_SIZE - 1)
-    save_state(newest, root, "amounts", batch_id)
+    save_state(newest, root, "amounts", batch_id, run)
 
 
-def check_batch_volume(spark: SparkSession, root: str, batch_id: int, rows: int) -> DataFrame:
+def check_batch_volume(spark: SparkSession, root: str, batch_id: int, rows: int,
+                       run: str = NO_RUN) -> DataFrame:
     """Score this batch's size against the sizes of the last batches."""
     sizes = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                                   F.lit(rows).cast("bigint").alias("batch_size"))
-    before = load_state(spark, root, "batch_sizes", batch_id)
+    before = load_state(spark, root, "batch_sizes", batch_id, run)
     if before is not None:
         sizes = sizes.unionByName(before.filter(F.col("batch_id") > batch_id - WINDOW_SIZE))
-    save_state(sizes, root, "batch_sizes", batch_id)
+    save_state(sizes, root, "batch_sizes", batch_id, run)
     # At most WINDOW_SIZE rows.
-    recent = spark.read.parquet(_state_path(root, "batch_sizes", batch_id))
+    recent = spark.read.parquet(_state_path(root, "batch_sizes", batch_id, run))
     return check_batch_sizes(recent, one_block=True).filter(F.col("batch_id") == batch_id)
 
 
 def ingest_batch(parsed: DataFrame, batch_id: int, root: str, order_by: list[str] | None = None,
                  window_seconds: int = 60, now_ms: int | None = None,
-                 users: DataFrame | None = None, sessions: DataFrame | None = None) -> dict:
-    """One micro-batch of parsed messages into the tables below ``root``."""
+                 users: DataFrame | None = None, sessions: DataFrame | None = None,
+                 run: str = NO_RUN) -> dict:
+    """One micro-batch of parsed messages into the tables below ``root``.
+
+    A row the events table cannot hold goes to ``not_storable`` with its reason and counts
+    as failed; the rest goes on. A batch that breaks off leaves a failed entry in the run
+    log, and the error is raised again.
+    """
     spark = parsed.sparkSession
-    order_by = order_by or KAFKA_ORDER
     started = datetime.now(timezone.utc)
-    now_ms = now_ms if now_ms is not None else int(time.time() * 1000)
-
-    write_batch(quarantined(parsed), root, "quarantine", batch_id)
-    kept, offered = drop_recent(clean(parsed), root, batch_id, now_ms, window_seconds, order_by)
+    try:
+        return _ingest(parsed, batch_id, root, order_by or KAFKA_ORDER, window_seconds,
+                       now_ms if now_ms is not None else int(time.time() * 1000),
+                       users, sessions, run, started)
+    except Exception as error:
+        log_run(spark, f"{root}/run_log", {
+            "run_id": f"{run}-{batch_id}-failed", "started_at": started, "status": "failed",
+            "completed_at": datetime.now(timezone.utc), "error_message": f"{type(error).__name__}: {error}"[:2000]})
+        raise
+
+
+def _ingest(parsed: DataFrame, batch_id: int, root: str, order_by: list[str], window_seconds: int, now_ms: int,
+            users: DataFrame | None, sessions: DataFrame | None, run: str, started: datetime) -> dict:
+    spark = parsed.sparkSession
+    write_batch(quarantined(parsed), root, "quarantine", batch_id, run)
+    kept, offered = drop_recent(clean(parsed), root, batch_id, now_ms, window_seconds, order_by, run)
     classified = cut_lineage(classify(kept, users, sessions, order_by))
-    history = load_state(spark, root, "amounts", batch_id)
+    history = load_state(spark, root, "amounts", batch_id, run)
     good, alerts = finish(classified, order_by, history, one_block=offered <= ONE_TASK_ROWS)
-    keep_amounts(good, history, root, batch_id, order_by)
+    keep_amounts(good, history, root, batch_id, order_by, run)
 
-    write_batch(rejected(classified).drop("_copies"), root, "rejected", batch_id)
-    write_batch(not_storable(good), root, "not_storable", batch_id)
-    write_batch(alerts, root, "alerts", batch_id)
+    write_batch(rejected(classified).drop("_copies"), root, "rejected", batch_id, run)
+    failed = Observation()
+    counted = not_storable(good).observe(failed, F.count(F.lit(1)).alias("rows"))
+    write_batch(counted, root, "not_storable", batch_id, run)
+    write_batch(alerts, root, "alerts", batch_id, run)
     rows = to_event_rows(storable(good)).withColumn("event_date", F.to_date("timestamp"))
     written = insert_ignore(rows, f"{root}/events",
                             order_by=["timestamp", "_kafka_partition", "_kafka_offset"],
                             partition_by=["event_date"])
-    volume = check_batch_volume(spark, root, batch_id, offered)
-    write_batch(volume.filter("is_alert"), root, "volume_alerts", batch_id)
+    volume = check_batch_volume(spark, root, batch_id, offered, run)
+    write_batch(volume.filter("is_alert"), root, "volume_alerts", batch_id, run)
 
     counters = run_counters(classified, alerts).first().asDict()
     # Copies of kept rows are counted above; rows dropped by the look-up are the rest.
     counters["duplicates_dropped"] += offered - counters["ingested"]
     counters["ingested"] = offered
-    counters.update(written)
+    counters.update(written, failed=failed.get["rows"])
     log_run(spark, f"{root}/run_log", {
-        "run_id": f"batch-{batch_id}", "started_at": started,
+        "run_id": f"{run}-{batch_id}", "started_at": started,
         "completed_at": datetime.now(timezone.utc), "status": "completed",
         "records_ingested": counters["ingested"], "records_rejected": counters["rejected"],
         "records_flagged": counters["flagged"],
         "duplicates_dropped": counters["duplicates_dropped"],
         "anomalies_detected": counters["anomalies_detected"],
     })
-    return counters
+    return {**counters, "run_id": f"{run}-{batch_id}",
+            "seconds": (datetime.now(timezone.utc) - started).total_seconds()}
 
 
 def start_ingest(stream: DataFrame, parse: Callable[[DataFrame], DataFrame], root: str,
@@ -146,7 +194,8 @@ def start_ingest(stream: DataFrame, parse: Callable[[DataFrame], DataFrame], roo
                  interval: str | None = "500 milliseconds", **checks) -> StreamingQuery:
     """Run ``ingest_batch`` on every micro-batch; ``interval=None`` drains and stops."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(parse(spread(batch)), batch_id, root, order_by, window_seconds, **checks)
+        ingest_batch(parse(spread(batch)), batch_id, root, order_by, window_seconds,
+                     run=checkpoint_id(batch.sparkSession, checkpoint), **checks)
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
