@@ -63,8 +63,8 @@ def to_event_rows(accepted: DataFrame) -> DataFrame:
     coordinates = [c for c in MESSAGE_KEY if c in accepted.columns]
     if coordinates:
         joined = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in coordinates])
-    elif "raw" in accepted.columns:
-        joined = F.col("raw")
+    elif "_raw_sha" in accepted.columns:
+        joined = F.col("_raw_sha")
     else:
         joined = F.to_json(F.struct(*sorted(c for c in accepted.columns if not c.startswith("_"))),
                            {"ignoreNullFields": "false"})

@@ -66,10 +66,14 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_landing(df: DataFrame) -> DataFrame:
-    """As ``parse_kafka`` for lines of text, which carry no message coordinates."""
+    """As ``parse_kafka`` for lines of text, which carry no message coordinates.
+
+    ``_raw_sha`` stands for the line where an id has to be made.
+    """
     return df.select(
         parse_object(df["value"], RAW_NAMES, TEXT_FIELDS).alias("fields"),
         df["value"].alias("raw"),
+        F.sha2(df["value"], 256).alias("_raw_sha"),
         *[df[c] for c in df.columns if c != "value"],
     )
 
