@@ -55,7 +55,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two extracts of all customers, of which the first must win."""
+    """Two extracts of all customers, of which the first must win; it is not the smaller."""
     c = table(spark, sf_dir, "customer")
     extracts = c.withColumn("extract_no", F.explode(F.array(F.lit(1), F.lit(2))))
     return extracts.select(
@@ -66,15 +66,18 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("city"),
         F.col("c_nationkey").cast("string").alias("country"),
         F.date_format(F.date_add(F.lit("2020-01-01").cast("date"),
-                                 (F.col("c_custkey") % 1000 + F.col("extract_no")).cast("int")),
+                                 (F.col("c_custkey") % 1000 + 2 - F.col("extract_no")).cast("int")),
                       "yyyy-MM-dd").alias("signup_date"),
         F.col("c_mktsegment").alias("segment"),
+        F.col("extract_no").alias("_arrival"),
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    price = F.col("p_retailprice").cast("decimal(10,2)")
+    """Two extracts; prices are lower in the second, which must not win."""
+    p = table(spark, sf_dir, "part").withColumn("extract_no", F.explode(F.array(F.lit(1), F.lit(2))))
+    listed = F.col("p_retailprice").cast("decimal(10,2)")
+    price = (listed - F.col("extract_no") + 1).cast("decimal(10,2)")
     return p.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("name"),
@@ -84,6 +87,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price * F.col("p_size").cast("decimal(4,0)") * F.lit("0.01").cast("decimal(2,2)"))
         .cast("decimal(10,2)").alias("cost"),
         F.lit(None).cast("string").alias("supplier"),
+        F.col("extract_no").alias("_arrival"),
     )
 
 

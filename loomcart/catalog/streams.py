@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomcart.catalog import adapters as given
 from loomcart.catalog.events import HOURLY_SQL, plain_revenue
-from loomcart.catalog.oracle import DELIVERED, PROCESSED, alert_text
+from loomcart.catalog.oracle import CHECKED, DELIVERED, PROCESSED, alert_text
 from loomcart.catalog.registry import query, text_list
 from loomcart.operators.sinks import current_runs, insert_ignore
 from loomcart.plans.events_job import clean
@@ -17,7 +17,7 @@ from loomcart.schemas import KAFKA_SCHEMA
 from loomcart.session import STATE_STORE, scratch_path
 from loomcart.sources.events import KAFKA_ORDER, parse_kafka
 from loomcart.streaming.dedup import dedup_stream
-from loomcart.streaming.ingest import checkpoint_id, load_state, output, start_ingest, write_batch
+from loomcart.streaming.ingest import checkpoint_id, drop_recent, load_state, output, start_ingest, write_batch
 from loomcart.streaming.summaries import latest_updates, refresh_summaries, windowed_revenue
 
 # The month is handed over in four parts, oldest first.
@@ -194,6 +194,20 @@ def _(spark, sf_dir):
         F.count(F.lit(1)).alias("kept"))
 
 
+@query("stream_recent", f"""WITH {CHECKED}
+SELECT fingerprint, 2 AS kept FROM (SELECT DISTINCT fingerprint FROM checked)""")
+def _(spark, sf_dir):
+    """The same messages in three batches, 30 and 60.001 s apart, with a window of 60 s:
+    the second batch falls inside it, the third lies beyond it."""
+    base = scratch_path(spark, "recent")
+    rows = clean(parse_kafka(given.raw_messages(spark, sf_dir)))
+    kept = []
+    for batch_id, now_ms in enumerate((0, 30_000, 60_001)):
+        found, _ = drop_recent(rows, base, batch_id, now_ms, 60, KAFKA_ORDER)
+        kept.append(found.select("fingerprint"))
+    return kept[0].union(kept[1]).union(kept[2]).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("kept"))
+
+
 @query("stream_hourly_revenue", HOURLY_SQL)
 def _(spark, sf_dir):
     """Each batch is appended to the events table; the days it touched are recomputed."""

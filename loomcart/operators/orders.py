@@ -11,8 +11,16 @@ STAGED_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "price",
                   "order_date", "status", "revenue"]
 
 
-def _others(df: DataFrame, key: str, order_by: list[str] | None) -> list[str]:
-    return order_by or [c for c in df.columns if c != key]
+# Extracts may carry the order in which their rows came; it is not loaded.
+ARRIVAL = "_arrival"
+
+
+def _first(df: DataFrame, key: str, order_by: list[str] | None) -> DataFrame:
+    """The first row of every key: by ``order_by``, else by arrival where the extract has
+    it, else (and among equals) by all other columns."""
+    others = [c for c in df.columns if c not in (key, ARRIVAL)]
+    arrival = [ARRIVAL] if ARRIVAL in df.columns else []
+    return first_per_key(df, [key], order_by or [*arrival, *others]).drop(ARRIVAL)
 
 
 def line_revenue(quantity: Column, price: Column, discount: Column) -> Column:
@@ -26,9 +34,9 @@ def line_revenue(quantity: Column, price: Column, discount: Column) -> Column:
 def transform_orders(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """Typed dates and money, revenue per line, first row per order id.
 
-    ``order_by`` says which row comes first; by default all other columns in order.
+    ``order_by`` says which row comes first; see ``_first`` for the default.
     """
-    unique = first_per_key(df, ["order_id"], _others(df, "order_id", order_by))
+    unique = _first(df, "order_id", order_by)
     return unique.withColumns({
         "order_date": F.to_date("order_date"),
         "quantity": F.col("quantity").cast("int"),
@@ -39,13 +47,13 @@ def transform_orders(df: DataFrame, order_by: list[str] | None = None) -> DataFr
 
 
 def transform_customers(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    unique = first_per_key(df, ["customer_id"], _others(df, "customer_id", order_by))
+    unique = _first(df, "customer_id", order_by)
     return unique.withColumn("signup_date", F.to_date("signup_date"))
 
 
 def transform_products(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """Adds profit_margin = (price - cost) / price; null where the price is zero."""
-    unique = first_per_key(df, ["product_id"], _others(df, "product_id", order_by))
+    unique = _first(df, "product_id", order_by)
     price, cost = F.col("price").cast("decimal(10,2)"), F.col("cost").cast("decimal(10,2)")
     return unique.withColumns({
         "price": price,
