@@ -226,7 +226,9 @@ def components(edges: DataFrame) -> DataFrame:
     def star(pairs: DataFrame, larger: bool) -> DataFrame:
         both = pairs.union(pairs.select("b", "a")).toDF("u", "v") if larger else \
             pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        # Written, so that both sides of the join are shuffled for it and AQE can split a
+        # node with a large share of the edges.
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         joined = both.join(least, "u")
         moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b"))
         if larger:
