@@ -52,7 +52,7 @@ NAMES = frozenset(
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
-_NAMING = re.compile(r"""(?:^|[\s"'])(class|id|role|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/]++)(?:\s*+=\s*+("[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s]++))?""")
 
 LEAST_COST = -0.01  # no tag scores more
 # Scores of tags that the labelled pages don't have: formatting, blocks of text, others.
@@ -69,14 +69,19 @@ class Token:
     words: int
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by name of a tag's attributes; of a repeated one the first counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        found.setdefault(name.lower(), (value[1:].rstrip(value[0]) if value[:1] in ('"', "'") else value).lower())
+    return found
+
+
 def _names_furniture(attributes: str) -> bool:
-    for name, value in _NAMING.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name in ("class", "id", "role") and NAMES.intersection(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+    given = _attributes(attributes)
+    if "hidden" in given or given.get("aria-hidden") == "true":
+        return True
+    return any(NAMES.intersection(re.split(r"[^a-z0-9]+", given[x])) for x in ("class", "id", "role") if x in given)
 
 
 def tokens(page: str) -> list[Token]:

@@ -63,6 +63,25 @@ def test_small_pages(weights, page, text):
     assert H.main_text(page, weights) == text
 
 
+@pytest.mark.parametrize("attributes", [
+    'style="overflow: hidden"', 'style="overflow-x: hidden"', 'title="a hidden gem"', "title='the class=ad of it'", 'data-hidden="1"',
+    'hiddenness=1', 'title=hidden', 'aria-hidden="false"', 'data-id="menu"', 'title = "id=menu"', 'alt="x" class=""',
+])
+def test_words_in_values_are_no_attributes(weights, attributes):
+    assert H.main_text(f"<div {attributes}><article {attributes}>{STORY}</article></div>", weights) == TEXT
+
+
+def test_a_value_without_its_end_quote(weights):
+    assert H.main_text(f"<article><p title=\"so hidden>{STORY}</article>", weights) == TEXT
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "HIDDEN", 'hidden=""', 'title="x"hidden', 'aria-hidden="true"', "aria-hidden = true", "title=x hidden/", "aria-hidden='TRUE'",
+])
+def test_hidden_elements_are_left_out(weights, attributes):
+    assert H.main_text(f"<article>{STORY}<div {attributes}>Not to be seen here</div></article>", weights) == TEXT
+
+
 def test_best_region_is_the_greatest_sum():
     made = np.random.default_rng(3)
     for _ in range(300):
