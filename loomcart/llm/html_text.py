@@ -1,11 +1,13 @@
 """Main text of web pages by the maximum-scoring subsequence of words and tags.
 
 A page is a sequence of words and tags. Words score positive and tags negative; words in
-links score by how often they stand in articles. Elements that are page furniture by name
-or class are left out and stand as one tag, so that an advert costs an article little. The
-weights are log-likelihood ratios counted over the labelled pages: those that mark one
-article of their own (``article`` or ``main``). A linear scan finds the contiguous region
-with the greatest sum, whose text is the page's main text.
+links score by how often they stand in articles. Elements that are page furniture, or that
+a class, id or role calls so, are left out and stand as one tag, so that an advert costs an
+article little. A class, id or role alone does not take out what holds the page: see
+``article`` and ``main_text``. Such an element's name scores in the scan instead. The weights are
+log-likelihood ratios counted over the labelled pages: those that mark one article of their
+own (``article`` or ``main``). A linear scan finds the contiguous region with the greatest
+sum, whose text is the page's main text.
 """
 
 from __future__ import annotations
@@ -59,16 +61,30 @@ LEAST_COST = -0.01  # no tag scores more
 UNSEEN_INLINE, UNSEEN_TEXT, UNSEEN = -0.01, -0.1, -1.0
 MOST = 8.0  # no score is further from zero
 FURNITURE_COST = -0.5  # one piece of furniture costs no more
-PLAIN, LINK, PIECE = "words", "words in links", "furniture"
+PLAIN, LINK, PIECE, NAMED = "words", "words in links", "furniture", "furniture's name"
+# Elements that no class, id or role makes furniture.
+NEVER = frozenset("html body main article".split())
 
 
 @dataclass
 class Token:
-    kind: str  # of words, a tag's name, or PIECE
+    kind: str  # of words, a tag's name, PIECE or NAMED
     text: str | None  # None for tags and furniture
     words: int
 
 
+@dataclass
+class Element:
+    """An element that class, id or role call furniture: its first token, the place after
+    its last one, and its words outside links."""
+    start: int
+    end: int
+    words: int
+
+
+CUT = Token(PIECE, None, 0)  # an element left out by its class, id or role
+
+
 def _attributes(raw: str) -> dict[str, str]:
     """Values by name of a tag's attributes; of a repeated one the first counts."""
     found: dict[str, str] = {}
@@ -77,27 +93,38 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
-def _names_furniture(attributes: str) -> bool:
-    given = _attributes(attributes)
-    if "hidden" in given or given.get("aria-hidden") == "true":
-        return True
+def _hidden(given: dict[str, str]) -> bool:
+    return "hidden" in given or given.get("aria-hidden") == "true"
+
+
+def _names_furniture(given: dict[str, str]) -> bool:
     return any(NAMES.intersection(re.split(r"[^a-z0-9]+", given[x])) for x in ("class", "id", "role") if x in given)
 
 
-def tokens(page: str) -> list[Token]:
-    """Words and tags of a page in order; comments are left out, furniture stands as one
-    token, and character references are decoded. Raw text (scripts and such) reaches up to
-    its end tag."""
+def tokens(page: str) -> tuple[list[Token], list[Element]]:
+    """Words and tags of a page in order; comments are left out, furniture and hidden
+    elements stand as one token, and character references are decoded. Raw text (scripts
+    and such) reaches up to its end tag. What is furniture by class, id or role only has all
+    its tokens and is listed, in the order of opening."""
     out: list[Token] = []
-    opened: list[tuple[str, bool, bool]] = []  # name, furniture, link; both include what is around
+    listed: list[Element] = []
+    plain = 0  # words outside links so far
+    # Name, furniture, link, listed element; the second and third include what is around.
+    opened: list[tuple[str, bool, bool, Element | None]] = []
     names: Counter[str] = Counter()  # of what is open: looked at before the stack is walked
     at, size, last = 0, len(page), page.rfind(">")
 
     def add_text(raw: str) -> None:
-        furniture, link = opened[-1][1:] if opened else (False, False)
+        nonlocal plain
+        furniture, link = opened[-1][1:3] if opened else (False, False)
         if raw and not furniture:
             text = html.unescape(raw)
             out.append(Token(LINK if link else PLAIN, text, len(text.split())))
+            plain += 0 if link else out[-1].words
+
+    def close(element: Element | None) -> None:
+        if element:
+            element.end, element.words = len(out), plain - element.words
 
     while at < size:
         found = _TAG.search(page, at) if at <= last or "<!" in page[at:] or "<?" in page[at:] else None
@@ -110,15 +137,17 @@ def tokens(page: str) -> list[Token]:
         if not name:  # a comment or declaration
             continue
         if found[1] or found[4]:
-            inside = bool(opened) and opened[-1][1]
+            inside, element = bool(opened) and opened[-1][1], None
             if names[name]:
                 while True:
-                    closed = opened.pop()[0]
+                    closed, _, _, element = opened.pop()
                     names[closed] -= 1
                     if closed == name:
                         break
+                    close(element)
             if not inside:
                 out.append(Token("/" + _known(name), None, 0))
+            close(element)
             continue
         attributes = found[3] or found[6] or ""
         if any(names[o] for o in CLOSES.get(name, ())):
@@ -126,23 +155,32 @@ def tokens(page: str) -> list[Token]:
                 other = opened[i][0]
                 if other in CLOSES[name]:
                     names.subtract(o[0] for o in opened[i:])
+                    for o in opened[i:]:
+                        close(o[3])
                     del opened[i:]
                     break
                 if other not in INLINE:
                     break
-        around, link = opened[-1][1:] if opened else (False, False)
-        furniture = around or name in FURNITURE or _names_furniture(attributes)
+        around, link = opened[-1][1:3] if opened else (False, False)
+        given = _attributes(attributes) if attributes and not around else {}
+        furniture = around or name in FURNITURE or _hidden(given)
+        element = None
+        if not furniture and name not in NEVER and _names_furniture(given):
+            listed.append(element := Element(len(out), size, plain))
         if not around:
             out.append(Token(PIECE if furniture else _known(name), None, 0))
         if name in VOID:
+            close(element)
             continue
-        opened.append((name, furniture, link or name == "a"))
+        opened.append((name, furniture, link or name == "a", element))
         names[name] += 1
         if name in RAW:
             end = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
             add_text(page[at:end.start() if end else size])
             at = end.start() if end else size
-    return out
+    for o in opened:
+        close(o[3])
+    return out, listed
 
 
 def _known(name: str) -> str:
@@ -159,6 +197,54 @@ def marked_region(page: list[Token]) -> tuple[int, int] | None:
     return None
 
 
+def cut(page: list[Token], listed: list[Element], spare) -> tuple[list[Token], list[int]]:
+    """The page without the listed elements, but for those to ``spare``, and the place of
+    each token before. What is spared keeps its tokens and gets one more for its name."""
+    out, places, at = [], [], 0
+    for element in listed:
+        if element.start < at:
+            continue
+        spared = spare(element)
+        end = element.start + 1 if spared else element.start
+        out += page[at:end]
+        places += range(at, end)
+        out.append(Token(NAMED, None, 0) if spared else CUT)
+        places.append(element.start)
+        at = end if spared else element.end
+    return out + page[at:], [*places, *range(at, len(page))]
+
+
+def _plain(page: list[Token], start: int = 0, end: int | None = None) -> int:
+    return sum(t.words for t in page[start:end] if t.kind == PLAIN)
+
+
+def article(page: list[Token], listed: list[Element]) -> tuple[list[Token], tuple[int, int] | None]:
+    """The page without furniture, and its marked article in it, if there is one.
+
+    Of a page that marks its article (before or after furniture by name is cut) these listed
+    elements stay: those around the article, and those in it with most of its words. Of
+    other pages those with most of the page's words stay. Words in links do not count.
+    """
+    if not listed:
+        return page, marked_region(page)
+    words = _plain(page)
+    most = cut(page, listed, lambda e: 2 * e.words > words)
+    mark = marked_region(page)
+    for found, places in () if mark else (most, cut(page, listed, lambda e: False)):
+        if region := marked_region(found):
+            # An opening tag's name token has the place of the tag.
+            mark = places[region[0] - 1] + 1, places[region[1]]
+            break
+    if not mark:
+        return most[0], None
+    inner = _plain(page, *mark)
+    start, end = mark
+    found, places = cut(page, listed, lambda e: e.start < start and e.end > end
+                        or start <= e.start and e.end <= end and 2 * e.words > inner)
+    first = next(i for i, place in enumerate(places) if place >= start - 1) + 1
+    return found, (first, next(i for i in range(first, len(places)) if places[i] >= end))
+
+
 def _pages(batch, column):
     for value in batch.column(column).cast(pa.large_binary()):
         yield value.as_py().decode("utf-8", "replace")
@@ -175,12 +261,13 @@ def learn(pages: DataFrame) -> dict[str, float]:
         outside: dict[str, int] = {}
         for batch in batches:
             for page in _pages(batch, 0):
-                found = tokens(page)
-                region = marked_region(found)
+                found, region = article(*tokens(page))
                 if region:
                     for i, token in enumerate(found):
                         where = inside if region[0] <= i < region[1] else outside
                         where[token.kind] = where.get(token.kind, 0) + (1 if token.text is None else token.words)
+                        if token is CUT:  # its name is learnt from what was cut by it too
+                            where[NAMED] = where.get(NAMED, 0) + 1
         kinds = sorted({*inside, *outside})
         yield pa.RecordBatch.from_pydict({
             "kind": pa.array(kinds, pa.string()), "inside": pa.array([inside.get(k, 0) for k in kinds], pa.int64()),
@@ -225,13 +312,25 @@ def unseen(kind: str) -> float:
     return UNSEEN_INLINE if name in INLINE else UNSEEN_TEXT if name in TEXT_BLOCK else UNSEEN
 
 
-def main_text(page: str, weights: dict[str, float]) -> str:
-    found = tokens(page)
+def scan(found: list[Token], weights: dict[str, float]) -> list[Token]:
+    """The region with the greatest sum."""
     scores = np.array([weights[t.kind] if t.kind in weights else unseen(t.kind) for t in found])
     scores *= np.array([1 if t.text is None else t.words for t in found])
     start, end = best_region(scores)
+    return found[start:end]
+
+
+def main_text(page: str, weights: dict[str, float]) -> str:
+    every, listed = tokens(page)
+    found, mark = article(every, listed)
+    region = scan(found, weights)
+    # Names are not believed of elements beside which the region is small: the largest and
+    # those not far behind take part in a second scan, the others stay furniture.
+    words, largest = _plain(region), max((e.words for e in listed), default=0)
+    if not mark and largest > 2 * words:
+        region = scan(cut(every, listed, lambda e: e.words > 2 * words and 2 * e.words > largest)[0], weights)
     parts = []
-    for token in found[start:end]:
+    for token in region:
         if token.text is not None:
             parts.append(token.text)
         elif token.kind.lstrip("/") not in INLINE:

@@ -63,6 +63,39 @@ def test_small_pages(weights, page, text):
     assert H.main_text(page, weights) == text
 
 
+@pytest.mark.parametrize("page", [
+    f"<html class=has-menu><body class='no-sidebar'><nav>Home page</nav><div>{STORY}</div><div class=ad>Buy this now</div></body></html>",
+    f"<div id='page' class='has-header'><div class='header'>Site name</div>{STORY}</div>",
+    f"<article class='post comments-open'>{STORY}</article><div class='comments'><p>Great article</p></div>",
+    f"<main id='skip-target' role='search'>{STORY}</main>",
+    f"<div class='search-result related'>{STORY}</div><div class='related'>Three more words</div>",
+    f"<body class='menu-open'><div id='page' class='has-sidebar'><article class='post'><div class='entry share-on'>{STORY}</div>"
+    "<div class='share'>Tell your friends</div></article><ol class='comments'><li><article class='comment'>I agree with this"
+    "</article><li><article class='comment'>I do not</article></ol></div>",
+    f"<div class='header'>Name of the site</div><div class='widget'>{STORY}</div><div class='comments'><p>One two three four "
+    "five six seven</p></div><div class='promo'>One two three four five six seven</div>",
+    f"<article>{STORY}</article><div class='comments'><p>{'So very many words. ' * 20}</p></div>",
+    f"<div class='menu'>{'<a href=1>Go to this page</a>' * 20}</div><div>{STORY}</div>",
+    f"<div class='has-header'><article class='x'>{STORY}</article></div><div class='comments'><p>{'Many words. ' * 20}</p></div>",
+])
+def test_names_alone_do_not_cut_what_holds_the_page(weights, page):
+    assert H.main_text(page, weights) == TEXT
+
+
+def test_articles_in_parts_that_names_call_furniture(weights):
+    parts = [f"Part {i} has these words." for i in range(5)]
+    page = "".join(f"<div class='widget'><p>{p}</p></div>" for p in parts)
+    assert H.main_text(page, {**weights, H.NAMED: -1.0}) == " ".join(parts)
+
+
+def test_pages_in_named_wrappers_are_learnt_from(spark, weights):
+    table = [(r.page_id, r.url, r.html.replace("<body>", "<body class='no-sidebar'><div class='has-header'>").replace("<article>", "<article class='share'>"))
+             for r in spark.read.parquet(f"{SF}/pages.parquet").limit(60).collect()]
+    want = {i: plain(re.search("<article class='share'>(.*)</article>", h, re.S)[1]) for i, _, h in table}
+    assert {r.page_id: r.text for r in H.extract(pages(spark, table)).collect()} == want
+    assert H.LEAST_COST >= weights[H.NAMED] >= -H.MOST
+
+
 @pytest.mark.parametrize("attributes", [
     'style="overflow: hidden"', 'style="overflow-x: hidden"', 'title="a hidden gem"', "title='the class=ad of it'", 'data-hidden="1"',
     'hiddenness=1', 'title=hidden', 'aria-hidden="false"', 'data-id="menu"', 'title = "id=menu"', 'alt="x" class=""',
