@@ -12,6 +12,7 @@ from loomcart.llm import (
     html_text,
     licenses,
     mixing,
+    periodic,
     quality,
     secrets,
     simhash,
@@ -83,6 +84,11 @@ def op10(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken", "copies", "position")
 
 
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    return periodic.report(periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.plant))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
