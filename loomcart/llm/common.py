@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    """The public byte-level BPE; TOKENIZER_FILE names another file."""
+    named = os.environ.get("TOKENIZER_FILE")
+    if named:
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 

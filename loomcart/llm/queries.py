@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from loomcart.catalog.registry import query
 from loomcart.llm import (
+    chat_tree,
     decontaminate,
     exact_dedup,
     html_text,
@@ -20,8 +21,8 @@ from loomcart.llm import (
     token_files,
     warc,
 )
-from loomcart.llm.common import lower_ascii, table
-from loomcart.llm.sql import DECONTAMINATION, EXACT_DEDUP, MERKLE, MIXING, WARC
+from loomcart.llm.common import lower_ascii, table, tokenizer
+from loomcart.llm.sql import CHAT, DECONTAMINATION, EXACT_DEDUP, MERKLE, MIXING, WARC
 from loomcart.session import scratch_path
 
 
@@ -63,7 +64,7 @@ def op6(spark, sf_dir):
 
 @query("op7_token_files")
 def op7(spark, sf_dir):
-    return token_files.round_trip(table(spark, sf_dir, "documents"), corpus_pipeline.tokenizer(), scratch_path(spark, "tokens"))
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer(), scratch_path(spark, "tokens"))
 
 
 @query("op8_exact_dedup", EXACT_DEDUP)
@@ -100,6 +101,16 @@ def op11(spark, sf_dir):
         (F.col("folded") == F.col("root")).alias("verified"))
 
 
+@query("op12_chat_tree", CHAT)
+def op12(spark, sf_dir):
+    """Conversations and one more, -1, whose texts look like marks of a template."""
+    say = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") == 0, "user").otherwise("assistant").alias("role"), say.alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_tree.round_trip(rows, tokenizer())
+
+
 @query("op13_periodic_runs")
 def op13(spark, sf_dir):
     return periodic.report(periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.plant))

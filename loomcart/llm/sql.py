@@ -74,6 +74,23 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND payload_bytes >= 1000
 """
 
+CHAT = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (SELECT *, md5(strlen(role)::VARCHAR || ':' || role || text) AS tie,
+             CASE role WHEN 'user' THEN '[INST] ' WHEN 'assistant' THEN '<s> ' ELSE '<<SYS>> ' END
+             || regexp_replace(CASE WHEN role IN ('user', 'assistant') THEN text
+                 ELSE replace(replace(role, '\', '\\'), chr(10), '\n') || chr(10) || text END,
+                 '([<\[])(\\*)(/?s>|<SYS>>|</SYS>>|/?INST\])', '\1\\\2\3', 'g')
+             || CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN ' </s>' ELSE ' <</SYS>>' END AS shown FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, tie)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, tie) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(shown))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
 
 def _merkle() -> str:
     """Trees of eight children unrolled to ten levels, enough for a thousand million leaves."""

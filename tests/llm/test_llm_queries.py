@@ -15,6 +15,7 @@ COLUMNS = {
     "op8_exact_dedup": "doc_id keep_id group_size kept text_sha256", "op9_simhash": "doc_id fingerprint component_id",
     "op10_mixing": "doc_id size source_size target taken copies position",
     "op11_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12_chat_tree": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op13_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     "pipeline": "doc_id start n_tokens ids_crc32",
 }
