@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.session import scratch_path
+from loomcart.session import remove_path, scratch_path
 
 # Rows of a few dozen bytes each: well below a hundred megabytes in memory.
 BROADCAST_ROWS = 500_000
@@ -32,13 +36,51 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back.
+#: Paths of the tables that ``stored`` makes, while somebody frees them.
+_made: list[list[str]] = []
+
+
+@contextmanager
+def scratch_freed(spark: SparkSession):
+    """Remove the tables stored within. What is returned out of it must not read them."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            remove_path(spark, path)
+
+
+def give_back(run):
+    """A function over Arrow batches whose worker gives its memory back to the system when
+    its task is done. Idle workers stay, and later stages need the room."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # another C library
+                pass
+
+    return wrapped
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` below the shared folder, or to ``path``, and read it back.
 
     Cuts lineage: later reads survive lost executors and prune columns.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    if path is None:
+        path = scratch_path(spark, name)
+        if _made:
+            _made[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

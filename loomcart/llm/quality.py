@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from loomcart.llm.common import stored
+from loomcart.llm.common import give_back, stored
 
 WORD_SLOTS = 8192
 DIMS = 64
@@ -36,7 +36,7 @@ CUT = 0.3
 TOKENS_AT_ONCE = 500_000
 STRIPE = 128  # slots in one row of partial sums
 FAN_IN = 1024  # partial sums added in one group
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 AGAIN = 0
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
@@ -110,23 +110,23 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
             stripes = range(0, WORD_SLOTS, STRIPE)
             yield pa.RecordBatch.from_pydict({
                 "stripe": pa.array([s // STRIPE for s in stripes], pa.int32()),
-                "total": [total[s:s + STRIPE].astype("<f4").tobytes() for s in stripes],
+                "total": [total[s:s + STRIPE].astype("<f8").tobytes() for s in stripes],
                 "counts": [counts[s:s + STRIPE].tobytes() for s in stripes]})
 
     def add(key, group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "<f4").astype(float) for x in group["total"])
+        total = sum(np.frombuffer(x, "<f8") for x in group["total"])
         counts = sum(np.frombuffer(x, "<i8") for x in group["counts"])
-        return pd.DataFrame({"stripe": [key[0]], "total": [total.astype("<f4").tobytes()],
+        return pd.DataFrame({"stripe": [key[0]], "total": [total.astype("<f8").tobytes()],
                              "counts": [counts.astype("<i8").tobytes()]})
 
     schema = "stripe int, total binary, counts binary"
-    sums = (docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(partial, schema)
+    sums = (docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(give_back(partial), schema)
             .withColumn("part", F.floor(F.spark_partition_id() / FAN_IN).cast("int")))
     first = sums.groupBy("stripe", "part").applyInPandas(add, schema)
     vectors, counts = np.zeros((WORD_SLOTS, DIMS)), np.zeros(WORD_SLOTS)
     for row in first.groupBy("stripe").applyInPandas(add, schema).collect():
         at = slice(row["stripe"] * STRIPE, (row["stripe"] + 1) * STRIPE)
-        vectors[at] = np.frombuffer(row["total"], "<f4").reshape(-1, DIMS)
+        vectors[at] = np.frombuffer(row["total"], "<f8").reshape(-1, DIMS)
         counts[at] = np.frombuffer(row["counts"], "<i8")
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     weight = FREQUENT / (FREQUENT + counts / max(1.0, counts.sum()))
@@ -238,8 +238,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
                 "features": pa.array([f.tobytes() for f in features], pa.binary())})
 
     table = (rows.select(F.col("doc_id").cast("long"), "text", F.col("quality").cast("int"))
-             .mapInArrow(pool, "doc_id long, quality int, features binary")
-             .dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id", ignore_index=True))
+             .mapInArrow(give_back(pool), "doc_id long, quality int, features binary")
+             .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("features").alias("features"))
+             .toPandas().sort_values("doc_id", ignore_index=True))
     y = table["quality"].to_numpy(float)
     if len(np.unique(y)) < 2:
         return Model(vectors, None, float(y.mean()) if len(y) else 0.5)
@@ -254,11 +255,15 @@ def scorer(model: Model):
     """A function of the text column that gives the score. The model goes along with it:
     a few megabytes, by the parameters above."""
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @give_back
+    def scores(batches):
         slots = Slots()
         for texts in batches:
             yield pd.Series(model.score(texts.tolist(), slots), dtype="float64")
 
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from scores(batches)
+
     return F.pandas_udf(score, DoubleType())
 
 

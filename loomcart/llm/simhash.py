@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcart.llm.common import stored, text_hash
+from loomcart.llm.common import give_back, stored, text_hash
 from loomcart.session import remove_path, scratch_path
 
 SHINGLE_WORDS = 4
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.coalesce("text", F.lit("")).alias("text"), text_hash(F.col("text")).alias("text_hash"))
-    return narrow.mapInArrow(of, "doc_id long, text_hash long, fp long")
+    return narrow.mapInArrow(give_back(of), "doc_id long, text_hash long, fp long")
 
 
 def _decode_block(value: np.ndarray, length: int) -> np.ndarray:
@@ -210,7 +210,7 @@ def links(classes: DataFrame, total: int, parts=PARTS, max_bits: int = MAX_BITS)
             open_ = held_group == number
             held, held_group = held[open_], held_group[open_]
 
-    return laid.mapInArrow(compare, "fp long, root long").distinct()
+    return laid.mapInArrow(give_back(compare), "fp long, root long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

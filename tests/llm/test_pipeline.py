@@ -5,7 +5,7 @@ from test_decontaminate import brute as contaminated
 from test_simhash import brute as near_groups
 from test_token_files import brute as token_rows
 
-from loomcart.llm import quality
+from loomcart.llm import mixing, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,9 +55,37 @@ def test_mixing(stages):
     assert max(times) <= 2 and set(rows(after)) <= set(rows(before))
 
 
-def test_token_files(stages):
+def in_order(df):
+    """Rows of a stored table in the order of its files."""
+    placed = df.select("doc_id", "text", "_metadata.file_name", "_metadata.row_index").collect()
+    return [(r.doc_id, r.text) for r in sorted(placed, key=lambda r: (r.file_name, r.row_index))]
+
+
+def test_mixing_stands_in_training_order(stages):
+    before, after = stages[3]
+    plan = {(r.doc_id, r.text_hash): r.positions for r in mixing.mix(before).collect()}
+    hashes = {(r[0], r[1]): r[2] for r in before.select("doc_id", "text", C.text_hash(before["text"])).collect()}
+    want = sorted((p, i, hashes[i, t], t) for i, t in rows(before) for p in plan[i, hashes[i, t]])
+    assert in_order(after) == [(i, t) for _, i, _, t in want]
+
+
+def test_token_files_keep_the_training_order(stages):
+    """Copies of a document stand apart, as the mix has them."""
     before, after = stages[4]
-    assert sorted((tuple(r) for r in after.collect()), key=lambda r: r[1]) == token_rows(rows(before))
+    found = sorted((tuple(r) for r in after.collect()), key=lambda r: r[1])
+    start, want = 0, []
+    alone = {r[0]: r[2:] for r in token_rows(sorted(set(rows(before))))}
+    for doc_id, _ in in_order(before):
+        want.append((doc_id, start, *alone[doc_id]))
+        start += alone[doc_id][0]
+    assert found == want
+    assert [r[0] for r in found] != sorted(r[0] for r in found)
+
+
+def test_token_stage_on_rows_without_files(spark):
+    docs = documents(spark)
+    assert sorted((tuple(r) for r in C.token_stage(spark, docs, SF).collect()), key=lambda r: r[1]) == token_rows(rows(docs))
+    assert C.token_stage(spark, empty(spark), SF).collect() == []
 
 
 def test_run_is_the_stages(spark, stages):
