@@ -12,6 +12,7 @@ from loomcart.catalog.oracle import (
 from loomcart.catalog.registry import query, six, six_sql, text_list
 from loomcart.operators import access, anomaly, dedup, sinks
 from loomcart.operators.integrity import check_references
+from loomcart.operators.key_index import KeyIndex
 from loomcart.operators.normalize import from_columns, normalize, raw_event_columns
 from loomcart.operators.quality import duplicate_keys
 from loomcart.operators.validate import accepted, audit_nulls, rejected, validate
@@ -448,6 +449,20 @@ def _(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "loaded", F.col("amount").cast("double"))
 
 
+@query("key_index", f"""WITH {EVT}
+SELECT event_id FROM evt WHERE event_type IN ('purchase', 'login')""")
+def _(spark, sf_dir):
+    """Purchases and logins are stored by two batches; every event id and as many strange
+    ones are looked up."""
+    events = given.events(spark, sf_dir)
+    path = scratch_path(spark, "indexed")
+    for kind in ("purchase", "login"):
+        sinks.insert_ignore(events.filter(access.is_type(kind)), path, order_by=["timestamp"])
+    strange = events.select(F.concat(F.lit("x"), "event_id").alias("event_id"))
+    keys = events.select("event_id").union(strange)
+    return KeyIndex(spark, path, "event_id").lookup(keys).keys
+
+
 @query("run_log_upsert", f"""WITH {EVT}, log AS (
   SELECT "timestamp"::DATE::VARCHAR AS run_id, hour("timestamp") AS h, count(*) AS n,
          min("timestamp") AS started, max("timestamp") AS ended,

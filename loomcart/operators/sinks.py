@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomcart.functions.joins import fits_broadcast
 from loomcart.operators.dedup import first_per_key
+from loomcart.operators.key_index import KeyIndex
 from loomcart.operators.quality import assert_unique
 from loomcart.schemas import EVENT_SCHEMA, RUN_SCHEMA
 from loomcart.session import cut_lineage, path_exists
@@ -100,10 +101,10 @@ def not_storable(accepted: DataFrame) -> DataFrame:
 
 
 def known_keys(fresh: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """The keys of ``fresh`` that ``target`` already holds.
+    """The keys of ``fresh`` that ``target`` already holds, by a scan of its key column.
 
     When ``fresh`` is small enough (by count) its keys are broadcast to the target's
-    scan: a large target is read for its key column only and never shuffled.
+    scan, which is never shuffled. Where ``target`` is a table, ``KeyIndex`` reads less.
     """
     keys = fresh.select(key)
     if fits_broadcast(keys):
@@ -119,6 +120,9 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
     Inserted and skipped rows are counted apart. Running it again with the same batch
     changes nothing, which makes at-least-once delivery safe. Rows without a key are told
     apart by all their columns, so none takes another's place.
+
+    What the target holds is learnt from its key index, which grows with every batch: the
+    target itself is read for files only that the index does not cover yet.
     """
     spark = batch.sparkSession
     if not batch.filter(F.col(key).isNull()).isEmpty():
@@ -128,8 +132,9 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
     counts = first.agg(F.count(F.lit(1)).alias("keys"),
                        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows")).first()
     fresh, inserted = first.drop("_copies"), counts["keys"]
-    if path_exists(spark, path):
-        known = cut_lineage(known_keys(first, spark.read.parquet(path), key))
+    found = KeyIndex(spark, path, key).lookup(first.select(key))
+    if found.buckets_read:
+        known = cut_lineage(found.keys)
         fresh, inserted = fresh.join(known, key, "left_anti"), inserted - known.count()
     if inserted:
         rows = fresh.select(*batch.columns)

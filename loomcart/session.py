@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,3 +89,44 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def remove_path(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder; none if there is no such folder."""
+    jvm_path, fs = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path)) if fs.exists(jvm_path) else []
+
+
+def files_below(spark: SparkSession, path: str, files: list[str]) -> list[str]:
+    """``files``, as Spark lists them, by their path below the folder ``path``."""
+    jvm_path, fs = _hadoop(spark, path)
+    root = fs.makeQualified(jvm_path).toUri().getPath().rstrip("/")
+    return [unquote(urlsplit(f).path)[len(root) + 1:] for f in files]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    jvm_path, fs = _hadoop(spark, path)
+    stream = fs.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def commit_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that appears as a whole or not at all, by a rename. Raises
+    if there is one: somebody else was first."""
+    target, fs = _hadoop(spark, path)
+    draft, _ = _hadoop(spark, f"{target.getParent().toString()}/_draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
