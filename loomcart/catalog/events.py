@@ -343,7 +343,7 @@ _SCORE_COLUMNS = f"""n AS window_count, {six_sql('mean')} AS window_mean,
        coalesce(z > 3.0, FALSE) AS is_alert"""
 
 
-def _scores(df: DataFrame, *columns: str) -> DataFrame:
+def scores(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns, "window_count", *[six(c).alias(c) for c in (
         "window_mean", "window_stdev", "z_score")], "is_alert")
 
@@ -351,14 +351,19 @@ def _scores(df: DataFrame, *columns: str) -> DataFrame:
 @query("anomaly_amount", f"""WITH {EVT}, {_SCORED.format(part='')}
 SELECT event_id, {_SCORE_COLUMNS} FROM zed""")
 def _(spark, sf_dir):
-    return _scores(anomaly.check_amounts(given.events(spark, sf_dir), _ORDER), "event_id")
+    return scores(anomaly.check_amounts(given.events(spark, sf_dir), _ORDER), "event_id")
 
 
-@query("anomaly_by_type", f"""WITH {EVT}, {_SCORED.format(part='PARTITION BY event_type')}
-SELECT event_id, event_type, {_SCORE_COLUMNS} FROM zed""")
+_BY_TYPE = f"WITH {EVT}, {_SCORED.format(part='PARTITION BY event_type')}"
+BY_TYPE_SQL = f"{_BY_TYPE} SELECT event_id, event_type, {_SCORE_COLUMNS} FROM zed"
+BY_TYPE_ALERTS_SQL = (f"{_BY_TYPE} SELECT event_id, event_type, {alert_text('amount', 'z', 'mean', 'sd')} "
+                      "AS _anomaly_alert FROM zed WHERE z > 3.0")
+
+
+@query("anomaly_by_type", BY_TYPE_SQL)
 def _(spark, sf_dir):
     """One sequence per event type."""
-    return _scores(anomaly.check_amounts(given.events(spark, sf_dir), _ORDER, keys=["event_type"]),
+    return scores(anomaly.check_amounts(given.events(spark, sf_dir), _ORDER, keys=["event_type"]),
                    "event_id", "event_type")
 
 
@@ -382,7 +387,7 @@ FROM zed""")
 def _(spark, sf_dir):
     hour = F.date_trunc("hour", F.col("timestamp").cast("timestamp"))
     scored = anomaly.check_batch_sizes(anomaly.batch_sizes(given.events(spark, sf_dir), hour))
-    return _scores(scored, "batch_id", "batch_size", "_anomaly_alert")
+    return scores(scored, "batch_id", "batch_size", "_anomaly_alert")
 
 
 # --- the whole event job ---

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcart.catalog import adapters as given
-from loomcart.catalog.events import HOURLY_SQL, plain_revenue
+from loomcart.catalog.events import BY_TYPE_ALERTS_SQL, BY_TYPE_SQL, HOURLY_SQL, plain_revenue, scores
 from loomcart.catalog.oracle import CHECKED, DELIVERED, PROCESSED, alert_text
 from loomcart.catalog.registry import query, text_list
 from loomcart.operators.sinks import current_runs, insert_ignore
@@ -16,6 +16,7 @@ from loomcart.plans.events_job import clean
 from loomcart.schemas import KAFKA_SCHEMA
 from loomcart.session import STATE_STORE, scratch_path
 from loomcart.sources.events import KAFKA_ORDER, parse_kafka
+from loomcart.streaming.anomaly import alerts, score_stream
 from loomcart.streaming.dedup import dedup_stream
 from loomcart.streaming.ingest import checkpoint_id, drop_recent, load_state, output, start_ingest, write_batch
 from loomcart.streaming.summaries import latest_updates, refresh_summaries, windowed_revenue
@@ -241,3 +242,34 @@ def _(spark, sf_dir):
      .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
      .awaitTermination())
     return plain_revenue(latest_updates(spark.read.parquet(f"{base}/updates"), ["hour", "currency"]).drop("run"))
+
+
+_SCORED: dict[tuple[str, str], str] = {}
+
+
+def _scored_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of each event type, scored in four micro-batches with a history per type."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SCORED:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+        base = scratch_path(spark, "amounts")
+        rows = given.events(spark, sf_dir).select(
+            "event_id", "event_type", F.col("timestamp").cast("timestamp").alias("timestamp"),
+            F.col("amount").cast("double").alias("amount"))
+        files = _write_parts(rows, f"{base}/in")
+        scored = score_stream(_stream(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema, files),
+                              ["event_type"], ["timestamp", "event_id"])
+        (scored.writeStream.format("parquet").option("path", f"{base}/out").outputMode("append")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+        _SCORED[key] = f"{base}/out"
+    return spark.read.parquet(_SCORED[key])
+
+
+@query("stream_anomaly_by_type", BY_TYPE_SQL)
+def _(spark, sf_dir):
+    return scores(_scored_by_type(spark, sf_dir), "event_id", "event_type")
+
+
+@query("stream_alerts_by_type", BY_TYPE_ALERTS_SQL)
+def _(spark, sf_dir):
+    return alerts(_scored_by_type(spark, sf_dir)).select("event_id", "event_type", "_anomaly_alert")
