@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomcart.llm.common import checked_broadcast, stored
+from loomcart.llm.common import checked_broadcast, give_back, stored
 from loomcart.session import scratch_path
 
 # Opening and closing marks; their token ids follow the vocabulary in this order.
@@ -34,7 +34,8 @@ _OTHER = 4
 _MARK = r"([<\[])(\\*)(/?s>|<SYS>>|</SYS>>|/?INST\])"
 _ESCAPE = re.compile(_MARK)
 _UNESCAPE = re.compile(r"([<\[])\\(\\*)(/?s>|<SYS>>|</SYS>>|/?INST\])")
-BATCH_CHARS = 2_000_000  # of texts that are encoded together
+BATCH_CHARS = 500_000  # of texts that are encoded together
+BATCH_NODES = 512  # nodes that are decoded together
 
 _SPAN = "array<struct<start: bigint, length: bigint>>"
 _INTERVALS = "array<struct<start: bigint, end: bigint>>"
@@ -99,6 +100,12 @@ class Tokens:
         inner = self.library.decode_batch([turn[1:-1] for turn in ids], skip_special_tokens=False)
         return [(turn[0] - self.first_mark, text) for turn, text in zip(ids, inner)]
 
+    def under_mask(self, ids: list[int], start: int, stop: int, inner: str) -> str:
+        """Text of the ids from ``start`` to ``stop``; ``inner`` is that of all between marks."""
+        if (start, stop) == (1, len(ids) - 1):
+            return inner
+        return self.library.decode(ids[start:stop], skip_special_tokens=False) if stop > start else ""
+
 
 def placed_turns(conversations: DataFrame) -> DataFrame:
     """Rows sorted by conversation and turn, numbered in that order (``row``), with a digest
@@ -219,7 +226,7 @@ def _scan(tokenizer: str):
         rows, held = [], 0
         for batch in batches:
             tokens = tokens or Tokens(tokenizer)
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for row in (tuple(c[i].as_py() for c in batch.columns) for i in range(batch.num_rows)):
                 rows.append(row)
                 held += len(row[4])
                 if held > BATCH_CHARS:
@@ -274,7 +281,7 @@ def write_packed(conversations: DataFrame, tokenizer: str, path: str) -> None:
     order = [F.col("path").asc(), F.col("depth").asc()]
     full = nodes.join(turns.select("row", "role", "text"), "row")
     scanned = (full.repartitionByRange(*order).sortWithinPartitions(*order)
-               .select("depth", "node", "conversations", "role", "text").mapInArrow(_scan(tokenizer), _SCANNED))
+               .select("depth", "node", "conversations", "role", "text").mapInArrow(give_back(_scan(tokenizer)), _SCANNED))
     scanned = stored(scanned, "scanned")
     # One row for each partition, as long as a conversation is deep.
     ends = scanned.where("stack is not null").select("part", "at", "stack").collect()
@@ -320,12 +327,12 @@ def read_conversations(spark: SparkSession, tokenizer: str, path: str) -> DataFr
 
     def read(batches):
         tokens, part, stack = None, None, []
-        for batch in batches:
+        for batch in (whole.slice(at, BATCH_NODES) for whole in batches for at in range(0, whole.num_rows, BATCH_NODES)):
             tokens = tokens or Tokens(tokenizer)
             rows = list(zip(*(batch.column(i).to_pylist() for i in range(9))))
             out = []
             turns = tokens.decode([r[4] for r in rows])
-            lost = tokens.library.decode_batch([r[4][r[5]:r[6]] for r in rows], skip_special_tokens=False)
+            lost = [tokens.under_mask(r[4], r[5], r[6], inner) for r, (_, inner) in zip(rows, turns)]
             for (own, start, node, ending, ids, _, _, position, intervals), (mark, inner), loss in zip(rows, turns, lost):
                 if own != part:
                     part, stack = own, []
@@ -351,7 +358,7 @@ def read_conversations(spark: SparkSession, tokenizer: str, path: str) -> DataFr
 
     members = spark.read.schema("conv_id long, node string").parquet(f"{path}/conversations")
     # One row for each distinct conversation; AQE splits conversations with many copies.
-    return members.join(ordered.mapInArrow(read, _REPORT), "node").drop("node")
+    return members.join(ordered.mapInArrow(give_back(read), _REPORT), "node").drop("node")
 
 
 def round_trip(conversations: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:
