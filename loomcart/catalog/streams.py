@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from loomcart.catalog import adapters as given
 from loomcart.catalog.events import BY_TYPE_ALERTS_SQL, BY_TYPE_SQL, HOURLY_SQL, plain_revenue, scores
 from loomcart.catalog.oracle import CHECKED, DELIVERED, PROCESSED, alert_text
-from loomcart.catalog.registry import query, text_list
+from loomcart.catalog.registry import query, six, six_sql, text_list
 from loomcart.operators.sinks import current_runs, insert_ignore
-from loomcart.plans.events_job import clean
+from loomcart.plans.events_job import classify, clean
 from loomcart.schemas import KAFKA_SCHEMA
 from loomcart.session import STATE_STORE, scratch_path
 from loomcart.sources.events import KAFKA_ORDER, parse_kafka
 from loomcart.streaming.anomaly import alerts, score_stream
 from loomcart.streaming.dedup import dedup_stream
 from loomcart.streaming.ingest import checkpoint_id, drop_recent, load_state, output, start_ingest, write_batch
+from loomcart.streaming.runlog import RunLog, observed
 from loomcart.streaming.summaries import latest_updates, refresh_summaries, windowed_revenue
 
 # The month is handed over in four parts, oldest first.
@@ -87,6 +88,66 @@ def _(spark, sf_dir):
     return _stored(spark, ingested(spark, sf_dir))
 
 
+_STORED_ROWS = f"""{_STORED.replace('amount::DOUBLE AS amount', 'amount::DECIMAL(18,4) AS amount')}"""
+_MERGED_VOLUME = f"""WITH stored AS ({_STORED_ROWS})
+SELECT "timestamp"::DATE AS event_date, event_type, count(*) AS event_count, count(DISTINCT user_id) AS unique_users,
+       sum(amount)::DOUBLE AS total_amount, {six_sql('sum(amount)::DOUBLE / count(amount)')} AS avg_amount
+FROM stored GROUP BY 1, 2"""
+
+
+@query("stream_merged_volume", _MERGED_VOLUME)
+def _(spark, sf_dir):
+    """The daily view that the ingest keeps by merging what its batches add."""
+    volume = spark.read.parquet(f"{ingested(spark, sf_dir)}/views/daily_event_volume")
+    return volume.withColumns({"avg_amount": six("avg_amount"), "total_amount": F.col("total_amount").cast("double")})
+
+
+@query("stream_merged_revenue", f"""WITH stored AS ({_STORED_ROWS})
+SELECT date_trunc('hour', "timestamp") AS hour, currency, count(*) AS transaction_count, sum(amount)::DOUBLE AS total_revenue,
+       {six_sql('sum(amount)::DOUBLE / count(amount)')} AS avg_transaction, max(amount)::DOUBLE AS max_transaction,
+       min(amount)::DOUBLE AS min_transaction
+FROM stored WHERE event_type = 'PURCHASE' AND amount IS NOT NULL AND currency IS NOT NULL GROUP BY 1, 2""")
+def _(spark, sf_dir):
+    return plain_revenue(spark.read.parquet(f"{ingested(spark, sf_dir)}/views/hourly_revenue"))
+
+
+@query("stream_merged_funnel", f"""WITH daily AS ({_MERGED_VOLUME}), counts AS (
+  SELECT event_date, sum(CASE WHEN event_type = 'SIGNUP' THEN event_count ELSE 0 END)::BIGINT AS signups,
+         sum(CASE WHEN event_type = 'LOGIN' THEN event_count ELSE 0 END)::BIGINT AS logins,
+         sum(CASE WHEN event_type = 'PURCHASE' THEN event_count ELSE 0 END)::BIGINT AS purchases
+  FROM daily GROUP BY 1)
+SELECT *, round(100.0::DOUBLE * purchases / nullif(signups, 0), 2) AS signup_to_purchase_pct FROM counts""")
+def _(spark, sf_dir):
+    return spark.read.parquet(f"{ingested(spark, sf_dir)}/views/user_funnel")
+
+
+@query("stream_unlisted_keys", f"""WITH {PROCESSED}
+SELECT g._kafka_offset, json_extract(e.props, '$.k')::BIGINT AS k FROM good g JOIN events e ON e.event_id = g.i
+WHERE g."timestamp" IS NOT NULL AND g.event_type IS NOT NULL""")
+def _(spark, sf_dir):
+    """Fields that have no column of their own, read back from the events table by path."""
+    events = spark.read.parquet(f"{ingested(spark, sf_dir)}/events")
+    return events.select("_kafka_offset", F.try_variant_get("extras", "$.props.k", "bigint").alias("k"))
+
+
+@query("stream_observed_counters", f"""WITH {DELIVERED}
+SELECT count(*) AS ingested, count(*) FILTER (WHERE outcome = 'rejected') AS rejected,
+       count(*) FILTER (WHERE outcome = 'flagged') AS flagged FROM delivered""")
+def _(spark, sf_dir):
+    """All deliveries validated by a stream; its counters reach the run log through the
+    query's listener."""
+    base = scratch_path(spark, "observed")
+    files = _write_parts(given.delivered_messages(spark, sf_dir), f"{base}/topic")
+    rows = classify(clean(parse_kafka(_stream(spark, f"{base}/topic", KAFKA_SCHEMA, files))))
+    with RunLog(spark, f"{base}/run_log"):
+        (observed(rows).select("_kafka_offset", "outcome").writeStream.format("parquet").outputMode("append")
+         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).start().awaitTermination())
+    log = current_runs(spark.read.parquet(f"{base}/run_log"), ["logged_at"])
+    return log.agg(F.sum("records_ingested").alias("ingested"), F.sum("records_rejected").alias("rejected"),
+                   F.sum("records_flagged").alias("flagged"))
+
+
 @query("stream_replay_idempotent", _STORED)
 def _(spark, sf_dir):
     """The whole topic is read once more into the same tables, as after a lost checkpoint."""

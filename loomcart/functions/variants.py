@@ -38,6 +38,13 @@ def all_fields(text: Column) -> Column:
     return F.from_json(text, "map<string,variant>", _JSON)
 
 
+def unlisted_fields(text: Column, names: list[str]) -> Column:
+    """The fields of an object whose names are not in ``names``, as one variant; null if
+    there are none. Read a field with ``try_variant_get(extras, '$.name', 'type')``."""
+    rest = F.map_filter(all_fields(text), lambda k, v: ~k.isin(names))
+    return F.when(F.size(rest) > 0, F.to_variant_object(rest))
+
+
 def type_name(value: Column) -> Column:
     """NULL for an absent key, VOID for a JSON null, else BOOLEAN, BIGINT, STRING, ..."""
     return F.schema_of_variant(value)

@@ -14,7 +14,7 @@ from loomcart.operators.dedup import first_per_key
 from loomcart.operators.key_index import KeyIndex
 from loomcart.operators.quality import assert_unique
 from loomcart.schemas import EVENT_SCHEMA, RUN_SCHEMA
-from loomcart.session import cut_lineage, path_exists
+from loomcart.session import cut_lineage, path_exists, remove_path
 from loomcart.sources.events import MESSAGE_KEY
 
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
@@ -54,7 +54,7 @@ def load_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append",
 
 
 def to_event_rows(accepted: DataFrame) -> DataFrame:
-    """Accepted rows in the columns and types of the events table.
+    """Accepted rows in the columns and types of the events table, and ``extras`` if there.
 
     A missing event id becomes a hash of the message coordinates, topic included, so that
     a retried message gets the same id again and another message another one. Without
@@ -79,7 +79,8 @@ def to_event_rows(accepted: DataFrame) -> DataFrame:
     }
     rows = accepted.withColumns({k: v for k, v in filled.items()
                                  if k not in accepted.columns or k == "event_id"})
-    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA])
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA],
+                       *[c for c in ("extras",) if c in rows.columns])
 
 
 def _obstacle() -> Column:
@@ -113,8 +114,8 @@ def known_keys(fresh: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
-                  order_by: list[str] | None = None,
-                  partition_by: list[str] | None = None) -> dict[str, int]:
+                  order_by: list[str] | None = None, partition_by: list[str] | None = None,
+                  staged: str | None = None) -> dict[str, int]:
     """Append the first row of every key the target does not hold yet.
 
     Inserted and skipped rows are counted apart. Running it again with the same batch
@@ -123,8 +124,14 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
 
     What the target holds is learnt from its key index, which grows with every batch: the
     target itself is read for files only that the index does not cover yet.
+
+    With ``staged`` the rows to insert are first written to that folder. A batch that is
+    run again takes them from there, so they stay the same whatever the first run had
+    inserted already; the counts are those of the first run. Keys must not be null then.
     """
     spark = batch.sparkSession
+    if staged is not None:
+        return _insert_staged(batch, path, key, order_by, partition_by, staged)
     if not batch.filter(F.col(key).isNull()).isEmpty():
         return _insert_unkeyed(batch, path, key, order_by, partition_by)
     order_by = order_by or [c for c in batch.columns if c != key]
@@ -137,14 +144,61 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
         known = cut_lineage(found.keys)
         fresh, inserted = fresh.join(known, key, "left_anti"), inserted - known.count()
     if inserted:
-        rows = fresh.select(*batch.columns)
-        if partition_by:
-            # Each task writes few folders, and a folder with most rows gets many tasks.
-            rows = rows.repartitionByRange(*partition_by, key)
-        rows.write.mode("append").partitionBy(*partition_by or []).parquet(path)
+        _append(fresh.select(*batch.columns), path, key, partition_by)
     return {"inserted": inserted, "skipped": counts["rows"] - inserted}
 
 
+def _append(rows: DataFrame, path: str, key: str, partition_by: list[str] | None) -> None:
+    if partition_by:
+        # Each task writes few folders, and a folder with most rows gets many tasks.
+        rows = rows.repartitionByRange(*partition_by, key)
+    rows.write.mode("append").partitionBy(*partition_by or []).parquet(path)
+
+
+def _insert_staged(batch: DataFrame, path: str, key: str, order_by: list[str] | None,
+                   partition_by: list[str] | None, staged: str) -> dict[str, int]:
+    spark = batch.sparkSession
+    again = path_exists(spark, f"{staged}/_SUCCESS")
+    if not again:
+        order_by = order_by or [c for c in batch.columns if c != key]
+        # Written once: the look-up, the insert and whatever follows read it.
+        first_per_key(batch, [key], order_by, copies="_copies").write.mode("overwrite").parquet(f"{staged}.first")
+        first = spark.read.parquet(f"{staged}.first")
+        offered = Observation()
+        found = KeyIndex(spark, path, key).lookup(first.select(key))
+        marked = first.withColumn("_known", F.lit(False))
+        if found.buckets_read:
+            known = found.keys.withColumn("_held", F.lit(True))
+            marked = first.join(known, key, "left").withColumn("_known", F.col("_held").isNotNull()).drop("_held")
+        counted = marked.observe(offered, F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+                                 F.count_if(~F.col("_known")).alias("inserted"))
+        counted.filter(~F.col("_known")).select(*batch.columns).write.mode("overwrite").parquet(f"{staged}.rows")
+        counts = {"inserted": offered.get["inserted"], "skipped": offered.get["rows"] - offered.get["inserted"]}
+        spark.createDataFrame([(counts["inserted"], counts["skipped"])], "inserted long, skipped long").coalesce(1).write.mode(
+            "overwrite").parquet(staged)
+    else:
+        counts = spark.read.parquet(staged).first().asDict()
+    fresh = spark.read.schema(batch.schema).parquet(f"{staged}.rows")
+    if again:
+        held = KeyIndex(spark, path, key).lookup(fresh.select(key)).keys
+        fresh = fresh.join(cut_lineage(held), key, "left_anti")
+        if fresh.isEmpty():
+            return counts
+    if counts["inserted"]:
+        _append(fresh.select(*batch.columns), path, key, partition_by)
+    return counts
+
+
+def staged_rows(spark: SparkSession, staged: str) -> DataFrame:
+    """The rows that an insert with ``staged`` found to be new."""
+    return spark.read.parquet(f"{staged}.rows")
+
+
+def remove_staged(spark: SparkSession, staged: str) -> None:
+    for path in (staged, f"{staged}.first", f"{staged}.rows"):
+        remove_path(spark, path)
+
+
 def _insert_unkeyed(batch: DataFrame, path: str, key: str, order_by: list[str] | None,
                     partition_by: list[str] | None) -> dict[str, int]:
     """Insert a batch in which keys are null: those rows on their own, by a hash of theirs."""
@@ -197,14 +251,19 @@ def current_runs(log: DataFrame, order_by: list[str]) -> DataFrame:
     ])
 
 
-def refresh(view: DataFrame, path: str) -> None:
-    """Recompute a materialised view as a whole."""
+def refresh(view: DataFrame, path: str, keys: list[str] | None = None) -> None:
+    """Recompute a materialised view as a whole. ``keys`` must be unique in it; else the
+    stored view stays as it is."""
+    if keys:
+        view = cut_lineage(view)
+        assert_unique(view, keys)
     view.write.mode("overwrite").parquet(path)
 
 
 def refresh_days(events: DataFrame, days: DataFrame, build, path: str,
-                 day_col: str = "event_date") -> None:
+                 day_col: str = "event_date", keys: list[str] | None = None) -> None:
     """Recompute a view for the listed days only and replace just their partitions.
+    ``keys`` must be unique in what is written.
 
     ``build`` makes the view of the events it is given; ``days`` has one column of dates
     and is small: one row per calendar day at most.
@@ -217,6 +276,9 @@ def refresh_days(events: DataFrame, days: DataFrame, build, path: str,
     view = build(events.join(touched, on, "left_semi"))
     if day_col not in view.columns:
         view = view.withColumn(day_col, F.to_date("hour"))
+    if keys:
+        view = cut_lineage(view)
+        assert_unique(view, keys)
     (view.repartition(day_col).write.mode("overwrite").partitionBy(day_col)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 

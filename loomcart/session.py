@@ -72,6 +72,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it from there: later reads take the columns they
+    need, and survive lost executors."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a small input, which would be read by one task.
 
