@@ -12,12 +12,12 @@ from loomcart.catalog.events import BY_TYPE_ALERTS_SQL, BY_TYPE_SQL, HOURLY_SQL,
 from loomcart.catalog.oracle import CHECKED, DELIVERED, PROCESSED, alert_text
 from loomcart.catalog.registry import query, six, six_sql, text_list
 from loomcart.operators.sinks import current_runs, insert_ignore
-from loomcart.plans.events_job import classify, clean
+from loomcart.plans.events_job import classify, clean, still_live, unseen
 from loomcart.schemas import KAFKA_SCHEMA
-from loomcart.session import STATE_STORE, scratch_path
+from loomcart.session import STATE_STORE, scratch_path, store
 from loomcart.sources.events import KAFKA_ORDER, parse_kafka
 from loomcart.streaming.anomaly import alerts, score_stream
-from loomcart.streaming.dedup import dedup_stream
+from loomcart.streaming.dedup import dedup_stream, live_keys, stream_stats
 from loomcart.streaming.ingest import checkpoint_id, drop_recent, load_state, output, start_ingest, write_batch
 from loomcart.streaming.runlog import RunLog, observed
 from loomcart.streaming.summaries import latest_updates, refresh_summaries, windowed_revenue
@@ -222,8 +222,9 @@ def _(spark, sf_dir):
     return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).unionByName(events).unionByName(total)
 
 
-def drain(query, rows: int, timeout: float = 300.0) -> None:
-    """Wait until a query without an end has read ``rows`` rows, then stop it."""
+def drain(query, rows: int, timeout: float = 300.0) -> int:
+    """Wait until a query without an end has read ``rows`` rows, then stop it; returns how
+    many it has read."""
     end = time.time() + timeout
     try:
         while time.time() < end:
@@ -231,7 +232,7 @@ def drain(query, rows: int, timeout: float = 300.0) -> None:
                 raise query.exception()
             done = {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
             if sum(done.values()) >= rows:
-                return
+                return sum(done.values())
             time.sleep(0.5)
         raise TimeoutError(f"stream did not read {rows} rows in {timeout} s")
     finally:
@@ -256,6 +257,39 @@ def _(spark, sf_dir):
         F.count(F.lit(1)).alias("kept"))
 
 
+@query("stream_dedup_restart", f"""WITH {DELIVERED}, n AS (
+  SELECT count(*) AS seen, count(DISTINCT fingerprint) AS live FROM delivered)
+SELECT seen AS total_processed, seen - live AS duplicates_dropped,
+       round(100.0::DOUBLE * (seen - live) / seen, 2) AS dedup_rate_pct, live AS window_size,
+       {_LONG_WINDOW} AS window_seconds FROM n""")
+def _(spark, sf_dir):
+    """A batch run over the first days hands its live fingerprints to a stream, which is
+    stopped and started again; the statistics are those of all three."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    base = scratch_path(spark, "restart")
+    rows = clean(parse_kafka(given.delivered_messages(spark, sf_dir))).select(
+        "fingerprint", *KAFKA_ORDER, F.timestamp_millis("_kafka_timestamp").alias("timestamp"))
+    day = F.dayofmonth("timestamp")
+    rows.write.parquet(f"{base}/all")
+    stored = spark.read.parquet(f"{base}/all")
+    now_ms = int(time.time() * 1000)
+    early = stored.filter(day <= 12)
+    unique, _ = unseen(early, KAFKA_ORDER, None, now_ms, _LONG_WINDOW)
+    store(still_live(unique, None, now_ms), f"{base}/live")
+    initial = spark.read.parquet(f"{base}/live")
+    processed = early.count()
+    for first, last in ((12, 22), (22, 32)):
+        stored.filter((day > first) & (day <= last)).write.mode("append").parquet(f"{base}/in")
+        kept = dedup_stream(spark.readStream.schema(stored.schema).parquet(f"{base}/in"), KAFKA_ORDER, _LONG_WINDOW,
+                            initial=initial)
+        query = (kept.writeStream.format("parquet").option("path", f"{base}/out")
+                 .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").start())
+        processed += drain(query, stored.filter((day > first) & (day <= last)).count())
+    total = initial.count() + spark.read.parquet(f"{base}/out").count()
+    live = live_keys(spark, f"{base}/checkpoint", int(time.time() * 1000), _LONG_WINDOW)
+    return stream_stats(processed, total, live, _LONG_WINDOW)
+
+
 @query("stream_recent", f"""WITH {CHECKED}
 SELECT fingerprint, 2 AS kept FROM (SELECT DISTINCT fingerprint FROM checked)""")
 def _(spark, sf_dir):
