@@ -19,6 +19,7 @@ from loomcart.sources.events import KAFKA_ORDER, parse_kafka
 from loomcart.streaming.anomaly import alerts, score_stream
 from loomcart.streaming.dedup import dedup_stream, live_keys, stream_stats
 from loomcart.streaming.ingest import checkpoint_id, drop_recent, load_state, output, start_ingest, write_batch
+from loomcart.streaming.rollups import store_views
 from loomcart.streaming.runlog import RunLog, observed
 from loomcart.streaming.summaries import latest_updates, refresh_summaries, windowed_revenue
 
@@ -67,6 +68,7 @@ def _ingest(spark: SparkSession, base: str, files: int, name: str) -> str:
     checkpoint = f"{base}/checkpoint-{name}"
     start_ingest(_stream(spark, f"{base}/topic", KAFKA_SCHEMA, files), parse_kafka, f"{base}/tables",
                  checkpoint, window_seconds=_LONG_WINDOW, interval=None).awaitTermination()
+    store_views(spark, f"{base}/tables")
     return checkpoint_id(spark, checkpoint)
 
 

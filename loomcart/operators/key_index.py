@@ -31,6 +31,7 @@ HASHES = 4
 FAN = 8  # segments of about one size that are merged
 BITS = 32_768  # of a page, as Spark's bitmap functions make them
 KEPT_VERSIONS = 3
+INLINE_FILES = 200  # covered files that a manifest names itself
 
 
 @dataclass
@@ -101,15 +102,25 @@ class KeyIndex:
         return set(files_below(self.spark, self.table, listed))
 
     def _covered(self, segments: list[dict]) -> set[str]:
-        if not segments:
-            return set()
-        paths = [f"{self.path}/{s['id']}/{s['files']}" for s in segments]
-        return {r[0] for r in self.spark.read.schema("value string").text(paths).collect()}
-
-    def _write(self, keys: DataFrame, files: DataFrame) -> dict:
+        named = {f for s in segments if isinstance(s["files"], list) for f in s["files"]}
+        paths = [f"{self.path}/{s['id']}/{s['files']}" for s in segments if not isinstance(s["files"], list)]
+        if paths:
+            named |= {r[0] for r in self.spark.read.schema("value string").text(paths).collect()}
+        return named
+
+    def _named(self, segment: str, files: set[str]) -> list[str] | str:
+        """How a manifest names ``files``: one by one if they are few, else by the folder of a list."""
+        if len(files) <= INLINE_FILES:
+            return sorted(files)
+        folder = f"files-{uuid.uuid4().hex}"
+        listed = self.spark.createDataFrame([(f,) for f in sorted(files)], "value string").coalesce(1)
+        listed.write.text(f"{self.path}/{segment}/{folder}")
+        return folder
+
+    def _write(self, keys: DataFrame, files: set[str]) -> dict:
         """A new segment with ``keys`` (one column) and the ``files`` they stand in."""
         n = keys.count()
-        own = {"id": f"segment-{uuid.uuid4().hex}", "keys": n, "files": "files", "buckets": _power(n / self.bucket_keys)}
+        own = {"id": f"segment-{uuid.uuid4().hex}", "keys": n, "buckets": _power(n / self.bucket_keys)}
         own["pages"] = _power(n / own["buckets"] / self.page_keys)
         path, h = f"{self.path}/{own['id']}", F.col("h")
         hashed = keys.withColumn("h", _hash(self.key)).withColumn("bucket", _bucket(h, own["buckets"]))
@@ -120,7 +131,7 @@ class KeyIndex:
         pages = bits.groupBy("bucket", "page").agg(F.bitmap_construct_agg("position").alias("bits"))
         (pages.repartition(own["buckets"], "bucket").sortWithinPartitions("bucket", "page")
          .write.partitionBy("bucket").parquet(f"{path}/filter"))
-        files.write.text(f"{path}/files")
+        own["files"] = self._named(own["id"], files)
         own["filled"] = [int(b.split("=")[1]) for b in folder_names(self.spark, f"{path}/keys") if b.startswith("bucket=")]
         return own
 
@@ -148,8 +159,7 @@ class KeyIndex:
         if missing:
             data = (self.spark.read.schema(f"`{self.key}` {key_type}")
                     .parquet(*[f"{self.table}/{f}" for f in missing]).filter(F.col(self.key).isNotNull()))
-            named = self.spark.createDataFrame([(f,) for f in missing], "value string").coalesce(1)
-            segments = [*segments, self._write(data, named)]
+            segments = [*segments, self._write(data, set(missing))]
         segments = self._merged(segments, key_type)
         self._commit(version, segments)
         kept = {s["id"] for s in segments} | {s["id"] for s in before}  # readers of the last version may be at work
@@ -175,8 +185,7 @@ class KeyIndex:
                 return segments
             group = tiers[full]
             keys = self._read_keys([p for s in group for p in self._keys_of(s)], key_type)
-            files = self.spark.read.schema("value string").text([f"{self.path}/{s['id']}/{s['files']}" for s in group])
-            one = self._write(keys, files.coalesce(1))
+            one = self._write(keys, self._covered(group))
             segments = [s for s in segments if s not in group] + [one]
 
     def adopt(self, added: list[str], removed: list[str]) -> None:
@@ -191,9 +200,7 @@ class KeyIndex:
             rest = (lines - gone) | (set(added) if i == 0 else set())
             if rest != lines:
                 # The keys stay as they are: only the list of files is written anew.
-                segment = {**segment, "files": f"files-{uuid.uuid4().hex}"}
-                named = self.spark.createDataFrame([(f,) for f in sorted(rest)], "value string").coalesce(1)
-                named.write.text(f"{self.path}/{segment['id']}/{segment['files']}")
+                segment = {**segment, "files": self._named(segment["id"], rest)}
             out.append(segment)
         self._commit(version, out)
 

@@ -6,15 +6,17 @@ catalogs whose tables support MERGE use ``merge_rows``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomcart.functions.joins import fits_broadcast
 from loomcart.operators.dedup import first_per_key
 from loomcart.operators.key_index import KeyIndex
-from loomcart.operators.quality import assert_unique
+from loomcart.operators.quality import DataQualityError, assert_unique
 from loomcart.schemas import EVENT_SCHEMA, RUN_SCHEMA
-from loomcart.session import cut_lineage, path_exists, remove_path
+from loomcart.session import cut_lineage, path_exists, remove_path, replace_folder
 from loomcart.sources.events import MESSAGE_KEY
 
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
@@ -254,10 +256,17 @@ def current_runs(log: DataFrame, order_by: list[str]) -> DataFrame:
 def refresh(view: DataFrame, path: str, keys: list[str] | None = None) -> None:
     """Recompute a materialised view as a whole. ``keys`` must be unique in it; else the
     stored view stays as it is."""
-    if keys:
-        view = cut_lineage(view)
-        assert_unique(view, keys)
-    view.write.mode("overwrite").parquet(path)
+    if not keys:
+        view.write.mode("overwrite").parquet(path)
+        return
+    spark, draft = view.sparkSession, f"{path}-draft-{uuid.uuid4().hex}"
+    view.write.parquet(draft)
+    try:
+        assert_unique(spark.read.parquet(draft), keys)
+    except DataQualityError:
+        remove_path(spark, draft)
+        raise
+    replace_folder(spark, draft, path)
 
 
 def refresh_days(events: DataFrame, days: DataFrame, build, path: str,

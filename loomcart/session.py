@@ -98,6 +98,22 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def replace_folder(spark: SparkSession, draft: str, path: str) -> None:
+    """Put the folder ``draft`` where ``path`` is or is not. Between two renames there is
+    none; a folder that a reader holds open stays readable until its files are removed."""
+    target, fs = _hadoop(spark, path)
+    old, _ = _hadoop(spark, f"{path}-old-{uuid.uuid4().hex}")
+    had = fs.exists(target)
+    if had:
+        fs.rename(target, old)
+    elif target.getParent() is not None:
+        fs.mkdirs(target.getParent())
+    if not fs.rename(_hadoop(spark, draft)[0], target):
+        raise OSError(f"{draft} could not be put in the place of {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def _hadoop(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -221,12 +221,21 @@ def _ingest(parsed: DataFrame, batch_id: int, root: str, order_by: list[str], wi
 
 def start_ingest(stream: DataFrame, parse: Callable[[DataFrame], DataFrame], root: str,
                  checkpoint: str, order_by: list[str] | None = None, window_seconds: int = 60,
-                 interval: str | None = "500 milliseconds", **options) -> StreamingQuery:
+                 interval: str | None = "500 milliseconds", view_seconds: float = 300.0, **options) -> StreamingQuery:
     """Run ``ingest_batch`` on every micro-batch; ``interval=None`` drains and stops.
-    ``options`` are those of ``ingest_batch``."""
+
+    The stored views are renewed by the first batch and then by the first one after every
+    ``view_seconds``; ``rollups.store_views`` renews them at any time. ``options`` are
+    those of ``ingest_batch``.
+    """
+    renewed = [float("-inf")]
+
     def handle(batch: DataFrame, batch_id: int) -> None:
+        due = time.monotonic() - renewed[0] >= view_seconds
         ingest_batch(parse(spread(batch)), batch_id, root, order_by, window_seconds,
-                     run=checkpoint_id(batch.sparkSession, checkpoint), **options)
+                     run=checkpoint_id(batch.sparkSession, checkpoint), views=due, **options)
+        if due:
+            renewed[0] = time.monotonic()
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

@@ -17,9 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcart.operators.sinks import insert_ignore, refresh
+from loomcart.operators.key_index import KeyIndex
+from loomcart.operators.sinks import refresh
 from loomcart.plans.marts import purchases, user_funnel
-from loomcart.session import path_exists
+from loomcart.session import remove_path, store
 
 # The type of a mean of amounts of the events table.
 MEAN = "decimal(22,8)"
@@ -48,19 +49,18 @@ def add_batch(events: DataFrame, root: str, run: str, batch_id: int) -> None:
     ``events`` must stay the same when a batch is repeated.
     """
     spark = events.sparkSession
-    triples = presence_rows(events).withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
-    presence = f"{root}/summaries/presence"
-    insert_ignore(triples, presence, key="presence_key", order_by=["presence_key"], partition_by=["run", "batch_id"])
-    own = _at(root, "presence", run, batch_id)
+    triples = store(presence_rows(events), f"{_at(root, '_triples', run, batch_id)}")
+    presence, own = f"{root}/summaries/presence", _at(root, "presence", run, batch_id)
+    found = KeyIndex(spark, presence, "presence_key").lookup(triples.select("presence_key"))
+    fresh = triples.join(found.keys, "presence_key", "left_anti") if found.buckets_read else triples
+    fresh.select(*triples.columns).coalesce(1).write.mode("append").parquet(own)
+    remove_path(spark, _at(root, "_triples", run, batch_id))
     day = F.to_date("timestamp").alias("event_date")
     volume = events.groupBy(day, "event_type").agg(
         F.count(F.lit(1)).alias("event_count"), F.sum("amount").alias("total_amount"),
         F.count("amount").alias("amount_count"))
-    if path_exists(spark, own):
-        fresh = spark.read.parquet(own).groupBy(*VOLUME_KEY).agg(F.count(F.lit(1)).alias("new_users"))
-        volume = volume.join(fresh, VOLUME_KEY, "left")
-    else:
-        volume = volume.withColumn("new_users", F.lit(None).cast("bigint"))
+    added = spark.read.parquet(own).groupBy(*VOLUME_KEY).agg(F.count(F.lit(1)).alias("new_users"))
+    volume = volume.join(added, VOLUME_KEY, "left")
     (volume.withColumn("new_users", F.coalesce("new_users", F.lit(0))).coalesce(1)
      .write.mode("overwrite").parquet(_at(root, "volume", run, batch_id)))
     hour = F.date_trunc("hour", F.col("timestamp").cast("timestamp")).alias("hour")
