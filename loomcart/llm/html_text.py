@@ -1,7 +1,10 @@
 """Main text of web pages by the maximum-scoring subsequence of words and tags.
 
 A page is a sequence of words and tags. Words score positive and tags negative; words in
-links score by how often they stand in articles. Elements that are page furniture, or that
+links score by how often they stand in articles, those beside other words of their block
+apart from those in blocks of links only. Where a page marks one article, its tags cost
+nothing and what is around it scores negative, so the region is the article from its first
+word to its last. Elements that are page furniture, or that
 a class, id or role calls so, are left out and stand as one tag, so that an advert costs an
 article little. A class, id or role alone does not take out what holds the page: see
 ``article`` and ``main_text``. Such an element's name scores in the scan instead. The weights are
@@ -42,7 +45,7 @@ CLOSED_BY = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt",
 CLOSES = {name: {o for o, by in CLOSED_BY.items() if name in by} for by in CLOSED_BY.values() for name in by}
 # Furniture: elements, and words of class, id and role that name it.
 FURNITURE = frozenset(
-    "head script style nav header footer aside form noscript iframe template button select textarea svg canvas "
+    "head script style nav header footer aside noscript iframe template button select textarea svg canvas "
     "object menu dialog title".split())
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent "
@@ -50,6 +53,17 @@ NAMES = frozenset(
     "comments reply replies respond share sharing social related recommended newsletter subscribe subscription popup "
     "modal overlay widget toolbar pagination pager login signup search skip disclaimer copyright complementary "
     "contentinfo".split())
+# Of these one is enough; the others may stand in names of content, such as related-work.
+SURE_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent sidebar "
+    "navbar navigation breadcrumb breadcrumbs masthead topbar comment comments newsletter subscribe subscription popup "
+    "modal pagination pager login signup".split())
+# What may stand beside the others in names of furniture.
+NEUTRAL = frozenset(
+    "a an and area article articles bar block body bottom box button buttons card col column container content entry for "
+    "footer group head has icon icons info inner is item items js left link links list main more new no of off on open "
+    "outer page panel post posts right row section site slot story stories text the title to top unit us with wrap "
+    "wrapper".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -62,6 +76,10 @@ UNSEEN_INLINE, UNSEEN_TEXT, UNSEEN = -0.01, -0.1, -1.0
 MOST = 8.0  # no score is further from zero
 FURNITURE_COST = -0.5  # one piece of furniture costs no more
 PLAIN, LINK, PIECE, NAMED = "words", "words in links", "furniture", "furniture's name"
+LISTED = "words of blocks of links"
+# Scores of a word in a link that the labelled pages don't have, and the least of any word
+# in a marked article.
+UNSEEN_LINK, UNSEEN_LISTED, LEAST_WORD = 0.5, -0.25, 0.05
 # Elements that no class, id or role makes furniture.
 NEVER = frozenset("html body main article".split())
 
@@ -75,11 +93,12 @@ class Token:
 
 @dataclass
 class Element:
-    """An element that class, id or role call furniture: its first token, the place after
-    its last one, and its words outside links."""
+    """A form, or an element that class, id or role call furniture: its first token, the
+    place after its last one, its words outside links, and whether its names leave no doubt."""
     start: int
     end: int
     words: int
+    sure: bool = True
 
 
 CUT = Token(PIECE, None, 0)  # an element left out by its class, id or role
@@ -97,8 +116,31 @@ def _hidden(given: dict[str, str]) -> bool:
     return "hidden" in given or given.get("aria-hidden") == "true"
 
 
-def _names_furniture(given: dict[str, str]) -> bool:
-    return any(NAMES.intersection(re.split(r"[^a-z0-9]+", given[x])) for x in ("class", "id", "role") if x in given)
+def _names_furniture(given: dict[str, str]) -> str:
+    """Whether names call an element furniture: "" if not, "sure" or "maybe"."""
+    found = ""
+    for name in (n for x in ("class", "id", "role") if x in given for n in given[x].split()):
+        parts = {p for p in re.split(r"[^a-z0-9]+", name) if p}
+        if parts & SURE_NAMES or parts & NAMES and all(
+                p in NAMES or p in NEUTRAL or any(c.isdigit() for c in p) for p in parts):
+            return "sure"
+        if parts & NAMES:
+            found = "maybe"
+    return found
+
+
+def _sort_links(out: list[Token]) -> None:
+    """Words in links of blocks without other words are LISTED."""
+    begin, plain = 0, False
+    for i, token in enumerate([*out, Token("end", None, 0)]):
+        if token.text is None and token.kind.lstrip("/") not in INLINE:
+            if not plain:
+                for other in out[begin:i]:
+                    if other.kind == LINK:
+                        other.kind = LISTED
+            begin, plain = i + 1, False
+        elif token.kind == PLAIN and token.words:
+            plain = True
 
 
 def tokens(page: str) -> tuple[list[Token], list[Element]]:
@@ -165,8 +207,9 @@ def tokens(page: str) -> tuple[list[Token], list[Element]]:
         given = _attributes(attributes) if attributes and not around else {}
         furniture = around or name in FURNITURE or _hidden(given)
         element = None
-        if not furniture and name not in NEVER and _names_furniture(given):
-            listed.append(element := Element(len(out), size, plain))
+        named = _names_furniture(given) if not furniture and name not in NEVER else ""
+        if named or name == "form" and not furniture:
+            listed.append(element := Element(len(out), size, plain, name == "form" or named == "sure"))
         if not around:
             out.append(Token(PIECE if furniture else _known(name), None, 0))
         if name in VOID:
@@ -180,6 +223,7 @@ def tokens(page: str) -> tuple[list[Token], list[Element]]:
             at = end.start() if end else size
     for o in opened:
         close(o[3])
+    _sort_links(out)
     return out, listed
 
 
@@ -222,8 +266,9 @@ def article(page: list[Token], listed: list[Element]) -> tuple[list[Token], tupl
     """The page without furniture, and its marked article in it, if there is one.
 
     Of a page that marks its article (before or after furniture by name is cut) these listed
-    elements stay: those around the article, and those in it with most of its words. Of
-    other pages those with most of the page's words stay. Words in links do not count.
+    elements stay: those around the article, and of those in it the ones with most of its
+    words and the ones whose names leave a doubt. Of other pages those with most of the
+    page's words stay. Words in links do not count.
     """
     if not listed:
         return page, marked_region(page)
@@ -240,7 +285,7 @@ def article(page: list[Token], listed: list[Element]) -> tuple[list[Token], tupl
     inner = _plain(page, *mark)
     start, end = mark
     found, places = cut(page, listed, lambda e: e.start < start and e.end > end
-                        or start <= e.start and e.end <= end and 2 * e.words > inner)
+                        or start <= e.start and e.end <= end and (2 * e.words > inner or not e.sure))
     first = next(i for i, place in enumerate(places) if place >= start - 1) + 1
     return found, (first, next(i for i in range(first, len(places)) if places[i] >= end))
 
@@ -280,7 +325,7 @@ def learn(pages: DataFrame) -> dict[str, float]:
     for kind, inside, outside in counts:
         ratio = float(np.log((inside + 0.5) / all_in) - np.log((outside + 0.5) / all_out))
         scores[kind] = float(np.clip(ratio, -MOST, MOST))
-        if kind not in (PLAIN, LINK):
+        if kind not in (PLAIN, LINK, LISTED):
             scores[kind] = min(scores[kind], LEAST_COST)
     scores[PLAIN] = float(np.clip(scores.get(PLAIN, 1.0), 0.1, 1.0))
     scores[PIECE] = max(scores.get(PIECE, FURNITURE_COST), FURNITURE_COST)
@@ -309,13 +354,22 @@ def unseen(kind: str) -> float:
         return 1.0
     if kind == PIECE:
         return FURNITURE_COST
+    if kind in (LINK, LISTED):
+        return UNSEEN_LINK if kind == LINK else UNSEEN_LISTED
     return UNSEEN_INLINE if name in INLINE else UNSEEN_TEXT if name in TEXT_BLOCK else UNSEEN
 
 
-def scan(found: list[Token], weights: dict[str, float]) -> list[Token]:
-    """The region with the greatest sum."""
+def scan(found: list[Token], weights: dict[str, float], mark: tuple[int, int] | None = None) -> list[Token]:
+    """The region with the greatest sum. In a marked article tags cost nothing and every
+    word counts; around it nothing does."""
     scores = np.array([weights[t.kind] if t.kind in weights else unseen(t.kind) for t in found])
     scores *= np.array([1 if t.text is None else t.words for t in found])
+    if mark and any(t.words for t in found[slice(*mark)]):
+        inside = np.zeros(len(found), bool)
+        inside[slice(*mark)] = True
+        words = np.array([t.words for t in found])
+        scores = np.where(inside, np.where(words > 0, np.maximum(scores, LEAST_WORD * words), 0.0),
+                          -1.0 - words)
     start, end = best_region(scores)
     return found[start:end]
 
@@ -323,7 +377,7 @@ def scan(found: list[Token], weights: dict[str, float]) -> list[Token]:
 def main_text(page: str, weights: dict[str, float]) -> str:
     every, listed = tokens(page)
     found, mark = article(every, listed)
-    region = scan(found, weights)
+    region = scan(found, weights, mark)
     # Names are not believed of elements beside which the region is small: the largest and
     # those not far behind take part in a second scan, the others stay furniture.
     words, largest = _plain(region), max((e.words for e in listed), default=0)

@@ -130,3 +130,50 @@ def test_odd_rows(spark):
     out = sorted(((r.page_id or 0, r.url, r.n_chars) for r in H.extract(pages(spark, rows)).collect()), key=repr)
     assert [n for _, _, n in out] == [10, 0, 0, 10, 1_199_999, out[5][2]]
     assert H.extract(pages(spark, [])).collect() == []
+
+
+LINKS = "".join(f"<li><a href={i}>item number {i}</a></li>" for i in range(10))
+ITEMS = " ".join(f"item number {i}" for i in range(10))
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<article><p>First words.</p><ul>{LINKS}</ul><p>Twenty more words of the rest follow here.</p></article>",
+     f"First words. {ITEMS} Twenty more words of the rest follow here."),
+    ("<article><p>See <a href=1>this fine link</a> and more words of the text.</p></article>",
+     "See this fine link and more words of the text."),
+    ("<article><p>Some words here. More at <a href=1>the project page</a></p></article>",
+     "Some words here. More at the project page"),
+    ("<article><p><a href=1>A link</a> begins it, <a href=2>one</a> is in the middle and it ends by <a href=3>one more</a></p></article>",
+     "A link begins it, one is in the middle and it ends by one more"),
+    (f"<body><form id=aspnetForm><nav>Home page</nav><div>{STORY}</div><input name=x><button>Send</button></form></body>", TEXT),
+    (f"<body><form><article>{STORY}</article><div class=sidebar>Other things to read</div></form></body>", TEXT),
+    (f"<article>{STORY}<section class='related-work'><h2>Others</h2><p>They did it, too.</p></section></article>",
+     f"{TEXT} Others They did it, too."),
+    (f"<article>{STORY}<div class='notice-period'><p>A month it is.</p></div></article>", f"{TEXT} A month it is."),
+    (f"<article>{STORY}<div class='related-posts'><p>Read this</p></div><div class='ad-google'>Buy it</div>"
+     "<div class='share-buttons'>Tell them</div><div id='comment-12'>I agree</div></article>", TEXT),
+    (f"<article>{STORY}{'<br><hr>' * 400}<p>The end</p></article><p>{'Words around it. ' * 30}</p>", f"{TEXT} The end"),
+    (f"<article></article><div>{STORY}</div>", TEXT),
+    (f"<div>{STORY}<p>See <a href=1>that page</a></p></div>", f"{TEXT} See that page"),
+    (f"<div><a href=1>Home page</a> <a href=2>About us</a> <a href=3>Our shop</a></div><div>{STORY}</div>", TEXT),
+])
+def test_nothing_of_an_article_is_lost(weights, page, text):
+    assert H.main_text(page, weights) == text
+
+
+def test_marked_articles_are_kept_whole(weights):
+    """Every word that stands in a marked article outside furniture is in the text, in order."""
+    made = np.random.default_rng(8)
+    for _ in range(150):
+        want, body = [], []
+        for i in range(made.integers(1, 12)):
+            said = f"w{i} x{i}"
+            kind = made.integers(0, 7)
+            body.append([f"<p>{said}</p>", f"<ul><li><a href=1>{said}</a></li></ul>", f"<p>{said} <a href=1>l{i}</a></p>",
+                         f"<aside>{said}</aside>", f"<div class='comments'>{said}</div>", f"<div><div>{said}</div></div>",
+                         f"<form>{said}</form>"][kind])
+            want += {2: [said, f"l{i}"], 3: [], 6: [], 4: []}.get(int(kind), [said])
+        if len(want) < 3:
+            continue
+        page = f"<p>Before it {made.integers(9)}</p><article><h1>Head</h1><p>Long words lead it all on</p>{''.join(body)}</article><p>After it</p>"
+        assert H.main_text(page, weights) == " ".join(["Head Long words lead it all on", *want])
