@@ -6,6 +6,10 @@ hash (levels of bit sets, a key sits at the first level where nothing collides w
 whose slots hold the full digest and the locator of the row that stays. A lookup
 computes the slot and compares all 32 bytes, so a digest that is not known can not be
 taken for one that is; such rows are grouped among themselves.
+
+Without a history of its own a table is cut in two: the digests of the first part are the
+history, the rows of the second are looked up in it. What they bring to known digests is
+merged into the slots' locators, and every row of a known digest gets its winner from there.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 
 from loomcart.llm.common import stored
 
-SHARD_KEYS = 4096  # digests in a shard: its slots are about 250 KB
+SHARD_KEYS = 4096  # digests in a shard, and rows that are looked up in one, on average
 LEAST_SHARDS = 64
 HOT_ROWS = 1000  # rows of one digest that a lookup group gets at least before it is split
 HOT_DIGESTS = 100_000  # at most so many digests are split, which bounds their broadcast
@@ -53,16 +57,36 @@ def digest_rows(docs: DataFrame) -> DataFrame:
     return narrow.mapInArrow(digest, _DIGESTS)
 
 
+def _winners(by_length: DataFrame) -> DataFrame:
+    """digest, place, keep_id, group_size and n_chars from rows (digest, place, n_chars,
+    doc_id, n): of the longest texts the smallest doc_id."""
+    each = by_length.groupBy("digest", "place", "n_chars").agg(F.min("doc_id").alias("doc_id"), F.sum("n").alias("n"))
+    return each.groupBy("digest", "place").agg(
+        F.max_by("doc_id", "n_chars").alias("keep_id"), F.sum("n").alias("group_size"), F.max("n_chars").alias("n_chars"))
+
+
 def classes(rows: DataFrame) -> DataFrame:
-    """One row per digest: keep_id (most code points, then smallest doc_id) and group_size.
+    """One row per digest: keep_id (most code points, then smallest doc_id), group_size and
+    n_chars of the row that stays.
 
     Grouping by length first leaves few rows for the ordered choice, and a digest that
     many rows share is reduced before the shuffle.
     """
-    by_length = rows.groupBy("digest", "place", "n_chars").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
-    return by_length.groupBy("digest", "place").agg(
-        F.max_by("doc_id", "n_chars").alias("keep_id"), F.sum("n").alias("group_size"))
+    return _winners(rows.withColumn("n", F.lit(1).cast("long")))
+
+
+def merged(known: DataFrame, more: DataFrame) -> DataFrame:
+    """The classes of two sets of rows as those of both."""
+    both = known.unionByName(more).select("digest", "place", "n_chars", F.col("keep_id").alias("doc_id"),
+                                          F.col("group_size").alias("n"))
+    return _winners(both)
+
+
+def hot_digests(rows: DataFrame, limit: int) -> DataFrame:
+    """Digests with more than ``limit`` rows, and how many groups theirs are dealt over."""
+    counts = rows.groupBy("digest", "place").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    return counts.select(F.col("digest").alias("hot_digest"), "place",
+                         F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("pieces"))
 
 
 def _slots(words: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -160,24 +184,20 @@ def _lookup(rows: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def lookup(rows: DataFrame, index: DataFrame, history: DataFrame, shards: int, total: int) -> DataFrame:
+def lookup(rows: DataFrame, index: DataFrame, hot: DataFrame, shards: int) -> DataFrame:
     """Every row with member, and for members the keep_id and group_size of their slot.
 
-    Rows of a digest with more than ``limit`` known copies are dealt over several groups,
-    each with its own copy of the shard. At most HOT_DIGESTS digests can have so many.
+    Rows of a ``hot`` digest are dealt by their number over several groups, each with its
+    own copy of the shard. There are at most HOT_DIGESTS hot ones.
     """
-    limit = max(HOT_ROWS, -(-total // HOT_DIGESTS))
-    hot = history.where(F.col("group_size") > limit).select(
-        F.col("digest").alias("hot_digest"), (F.col("place") % F.lit(shards)).alias("hot_shard"),
-        F.ceil(F.col("group_size") / F.lit(limit)).cast("int").alias("pieces"))
-    copies = hot.groupBy("hot_shard").agg(F.max("pieces").alias("pieces"))
+    copies = hot.groupBy((F.col("place") % F.lit(shards)).alias("hot_shard")).agg(F.max("pieces").alias("pieces"))
     spread = (index.drop("salt").join(F.broadcast(copies), F.col("shard") == F.col("hot_shard"), "left")
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)))
               .drop("hot_shard", "pieces"))
-    salted = (rows.join(F.broadcast(hot.drop("hot_shard")), F.col("digest") == F.col("hot_digest"), "left")
+    salted = (rows.join(F.broadcast(hot.drop("place")), F.col("digest") == F.col("hot_digest"), "left")
               .withColumn("shard", F.col("place") % F.lit(shards))
-              .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.coalesce("pieces", F.lit(1))).cast("int"))
-              .drop("hot_digest", "pieces"))
+              .withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("pieces", F.lit(1))).cast("int"))
+              .drop("hot_digest", "pieces", "row"))
 
     def find(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _lookup(left, right)
@@ -191,26 +211,45 @@ def dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, member.
 
     ``history`` has distinct digests with their keep_id (see ``classes``); rows with such
-    a digest repeat a known text and point at its locator. Without one, the digests that
-    occur more than once in ``docs`` are the history. All other rows are grouped among
-    themselves by digest.
+    a digest repeat a known text and point at its locator. Without one, the digests of one
+    half of the rows, by a hash of their number, are the history, and ``member`` tells
+    whether a row's digest is among them. All other rows are grouped among themselves.
 
     Null and empty texts, and texts of white space only, are equal. Among texts of the
     same length a null doc_id is chosen only if there is no other; keep_id is then null,
     which its row matches. Rows that repeat doc_id and text are kept or dropped alike. An empty table
     gives no rows; other columns are not read.
     """
-    rows = stored(digest_rows(docs), "digests")
+    rows = stored(digest_rows(docs).withColumn("row", F.monotonically_increasing_id()), "digests")
     total = rows.count()
-    if history is None:
-        history = stored(classes(rows).where("group_size > 1"), "history")
-    shards = max(LEAST_SHARDS, -(-history.count() // SHARD_KEYS))
-    index = stored(build_index(history, shards), "hash")
-    found = stored(lookup(rows, index, history, shards, total), "found")
-    others = found.where(~F.col("member")).drop("keep_id", "group_size")
-    own = classes(others).drop("place")
+    limit = max(HOT_ROWS, -(-total // HOT_DIGESTS))
+    hot = stored(hot_digests(rows, limit), "hot")
+
+    def indexed(known: DataFrame) -> tuple[DataFrame, int]:
+        shards = max(LEAST_SHARDS, -(-max(known.count(), total) // SHARD_KEYS))
+        return stored(build_index(known, shards), "hash"), shards
+
+    if history is not None:
+        found = stored(lookup(rows, *_with(indexed(history), hot)), "found")
+        members, others = found.where("member"), found.where(~F.col("member"))
+    else:
+        second = F.pmod(F.xxhash64("row"), F.lit(2)) == 1
+        known = stored(classes(rows.where(~second)), "known")
+        asked = lookup(rows.where(second), *_with(indexed(known), hot))
+        asked = stored(asked.withColumn("row", F.monotonically_increasing_id()), "asked")
+        every = stored(merged(known, classes(asked.where("member"))), "history")
+        names = ["doc_id", "digest", "n_chars", "place", "row"]
+        repeats = rows.where(~second).select(names).unionByName(asked.where("member").select(names))
+        members = lookup(repeats, *_with(indexed(every), hot))
+        others = asked.where(~F.col("member"))
+    others = others.drop("keep_id", "group_size")
+    own = classes(others).drop("place", "n_chars")
     grouped = others.join(own, "digest")
     names = ["doc_id", "keep_id", "group_size", "digest", "member"]
-    return found.where("member").select(names).unionByName(grouped.select(names)).select(
+    return members.select(names).unionByName(grouped.select(names)).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"), "member")
+
+
+def _with(index: tuple[DataFrame, int], hot: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    return index[0], hot, index[1]

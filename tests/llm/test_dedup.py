@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from odd import documents, empty
+from pyspark.accumulators import AccumulatorParam
 
 from loomcart.llm import exact_dedup as E
 
@@ -67,3 +68,41 @@ def test_random_tables(spark):
     made = random.Random(3)
     rows = [(i, "".join(made.choice("ab \n") for _ in range(made.randint(0, 5)))) for i in range(400)]
     assert got(E.dedup(documents(spark, [(i, t, "s") for i, t in rows]))) == brute(rows)
+
+
+def test_groups_are_bounded(spark, monkeypatch):
+    """Rows without repeats are dealt over as many groups as they need, and so are the rows
+    of a hot digest whose ids are all null."""
+    monkeypatch.setattr(E, "SHARD_KEYS", 20)
+    monkeypatch.setattr(E, "HOT_ROWS", 25)
+    plain = E._lookup
+    rows = [(i, f"text {i}", "s") for i in range(2000)] + [(None, "hot", "s")] * 600
+    largest = spark.sparkContext.accumulator([], accum_param=_Largest())
+
+    def counted(left, right):
+        largest.add([len(left)])
+        return plain(left, right)
+
+    monkeypatch.setattr(E, "_lookup", counted)
+    out = got(E.dedup(documents(spark, rows)))
+    assert out == brute([(i, t) for i, t, _ in rows])
+    assert max(largest.value) < 100
+
+
+class _Largest(AccumulatorParam):
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, a, b):
+        a += b
+        return a
+
+
+def test_both_parts_work_through_the_hash(spark):
+    """The longest copy may stand in either part; members are found by lookups."""
+    made = random.Random(9)
+    rows = [(i, " " * made.randint(0, 9) + f"t{i % 150}", "s") for i in range(600)]
+    docs = documents(spark, rows)
+    out = E.dedup(docs)
+    assert got(out) == brute([(i, t) for i, t, _ in rows])
+    assert out.where("member").count() > 500 and out.where("not member").count() > 0
