@@ -13,6 +13,7 @@ from loomcart.catalog.registry import query, six, six_sql, text_list
 from loomcart.operators import access, anomaly, dedup, sinks
 from loomcart.operators.integrity import check_references
 from loomcart.operators.key_index import KeyIndex
+from loomcart.operators.key_table import KeyTable, unknown_keys
 from loomcart.operators.normalize import from_columns, normalize, raw_event_columns
 from loomcart.operators.quality import duplicate_keys
 from loomcart.operators.validate import accepted, audit_nulls, rejected, validate
@@ -328,6 +329,32 @@ def _(spark, sf_dir):
     return checked.select("event_id", text_list("violations"))
 
 
+@query("ri_registered", f"""WITH {EVT}, batches AS (SELECT 0 AS batch UNION ALL SELECT 1)
+SELECT event_id, batch, concat_ws('; ',
+  CASE WHEN user_id NOT IN (SELECT c_custkey::VARCHAR FROM customer WHERE c_acctbal > 0)
+        AND (batch = 0 OR user_id NOT IN (SELECT c_custkey::VARCHAR FROM customer))
+       THEN 'Unknown user_id: ''' || user_id || '''' END,
+  CASE WHEN session_id NOT IN (SELECT session_id FROM evt WHERE event_type = 'signup')
+        AND (batch = 0 OR session_id NOT IN (SELECT session_id FROM evt WHERE event_type = 'login'))
+       THEN 'Unknown session_id: ''' || session_id || '''' END) AS violations
+FROM evt, batches""")
+def _(spark, sf_dir):
+    """Customers in credit and sessions with a signup are registered first; the others,
+    and sessions with a login, between the two checks."""
+    events = cut_lineage(from_columns(given.events(spark, sf_dir)))
+    customers = given.table(spark, sf_dir, "customer")
+    users, sessions = (KeyTable(spark, scratch_path(spark, name)) for name in ("users", "sessions"))
+    tables = {"user_id": users, "session_id": sessions}
+    users.register(customers.filter("c_acctbal > 0").select("c_custkey"))
+    sessions.register(events.filter(access.is_type("signup")).select("session_id"))
+    first = cut_lineage(unknown_keys(events, tables, ["event_id"]))
+    users.register(customers.select("c_custkey"))
+    sessions.register(events.filter(access.is_type("login")).select("session_id"))
+    second = unknown_keys(events, tables, ["event_id"])
+    return first.withColumn("batch", F.lit(0)).unionByName(second.withColumn("batch", F.lit(1))).select(
+        "event_id", "batch", text_list("violations"))
+
+
 # --- anomalies ---
 
 _Z = """abs(amount - mean) / sd"""

@@ -70,7 +70,9 @@ def clean(parsed: DataFrame) -> DataFrame:
 
 def classify(unique: DataFrame, users: DataFrame | None = None,
              sessions: DataFrame | None = None, spread_by: list[str] | None = None) -> DataFrame:
-    """Null flags, errors, warnings, outcome and, on request, reference violations."""
+    """Null flags, errors, warnings, outcome and, on request, reference violations. The
+    key tables are read once for the rows; see ``operators.key_table`` for tables of keys
+    that grow meanwhile."""
     checked = validate(audit_nulls(unique))
     if users is not None or sessions is not None:
         checked = check_references(checked, users, sessions, spread_by)

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loomcart.operators.anomaly import THRESHOLD, WINDOW_SIZE, check_batch_sizes
 from loomcart.operators.dedup import first_per_key
+from loomcart.operators.key_table import KeyTable, unknown_keys
 from loomcart.operators.sinks import (
     insert_ignore, log_run, not_storable, remove_staged, staged_rows, storable, to_event_rows,
 )
@@ -136,7 +137,7 @@ def ingest_batch(parsed: DataFrame, batch_id: int, root: str, order_by: list[str
                  window_seconds: int = 60, now_ms: int | None = None,
                  users: DataFrame | None = None, sessions: DataFrame | None = None,
                  run: str | None = None, window_size: int = WINDOW_SIZE, threshold: float = THRESHOLD,
-                 views: bool = True) -> dict:
+                 views: bool = True, key_tables: dict[str, KeyTable] | None = None) -> dict:
     """One micro-batch of parsed messages into the tables below ``root``.
 
     A row the events table cannot hold goes to ``not_storable`` with its reason and counts
@@ -144,7 +145,8 @@ def ingest_batch(parsed: DataFrame, batch_id: int, root: str, order_by: list[str
     log, and the error is raised again. ``run`` names the caller: a batch of a run that
     comes again replaces its output. Without a run a batch id that was there before is
     refused, as it may be another caller's. ``window_size`` and ``threshold`` are those of
-    the amount check; ``views`` says whether the stored views are renewed.
+    the amount check; ``views`` says whether the stored views are renewed. Rows with ids
+    that ``key_tables`` (by column) do not hold by now go to ``unknown_keys`` as well.
     """
     spark = parsed.sparkSession
     started = datetime.now(timezone.utc)
@@ -155,7 +157,7 @@ def ingest_batch(parsed: DataFrame, batch_id: int, root: str, order_by: list[str
     try:
         return _ingest(parsed, batch_id, root, order_by or KAFKA_ORDER, window_seconds,
                        now_ms if now_ms is not None else int(time.time() * 1000),
-                       users, sessions, run, started, window_size, threshold, views)
+                       users, sessions, run, started, window_size, threshold, views, key_tables or {})
     except Exception as error:
         log_run(spark, f"{root}/run_log", {
             "run_id": f"{run}-{batch_id}-failed", "started_at": started, "status": "failed",
@@ -165,7 +167,7 @@ def ingest_batch(parsed: DataFrame, batch_id: int, root: str, order_by: list[str
 
 def _ingest(parsed: DataFrame, batch_id: int, root: str, order_by: list[str], window_seconds: int, now_ms: int,
             users: DataFrame | None, sessions: DataFrame | None, run: str, started: datetime,
-            window_size: int, threshold: float, views: bool) -> dict:
+            window_size: int, threshold: float, views: bool, key_tables: dict[str, KeyTable]) -> dict:
     """The batch is parsed once and classified once, each written to a table of its own
     that all outputs read. What is counted is observed while it is written."""
     spark = parsed.sparkSession
@@ -184,6 +186,11 @@ def _ingest(parsed: DataFrame, batch_id: int, root: str, order_by: list[str], wi
     save_state(still_live(kept, live, now_ms), root, "fingerprints", batch_id, run)
     write_batch(rejected(kept).drop("_copies", "extras"), root, "rejected", batch_id, run)
 
+    if key_tables:
+        coordinates = [c for c in (*MESSAGE_KEY, "_raw_sha") if c in kept.columns]
+        checked = unknown_keys(kept.select(*coordinates, "fingerprint", *key_tables), key_tables, ["fingerprint"])
+        write_batch(checked.filter(F.size("violations") > 0), root, "unknown_keys", batch_id, run)
+
     good = accepted(kept).drop("_copies")
     alarmed = Observation()
     alerts = find_alerts(good, order_by, history, counted["ingested"] <= ONE_TASK_ROWS, window_size, threshold)
