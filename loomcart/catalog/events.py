@@ -129,6 +129,27 @@ def _(spark, sf_dir):
     return access.events_by_session(given.events(spark, sf_dir)).select("session_id", "event_id")
 
 
+@query("events_of_one_user", f"""WITH {EVT} SELECT event_id, user_id, "timestamp" FROM evt
+WHERE user_id = (SELECT min(user_id) FROM evt)""")
+def _(spark, sf_dir):
+    """Read from the stored layout, which lets row groups without the user be skipped."""
+    events = given.events(spark, sf_dir)
+    path = scratch_path(spark, "clustered")
+    sinks.write_events(events, path)
+    user = events.agg(F.min("user_id")).first()[0]
+    return access.events_by_user(spark.read.parquet(path), user).select("event_id", "user_id", "timestamp")
+
+
+@query("events_of_one_session", f"""WITH {EVT} SELECT event_id, session_id, "timestamp" FROM evt
+WHERE session_id = (SELECT max(session_id) FROM evt)""")
+def _(spark, sf_dir):
+    events = given.events(spark, sf_dir)
+    path = scratch_path(spark, "clustered")
+    sinks.write_events(events, path)
+    session = events.agg(F.max("session_id")).first()[0]
+    return access.events_by_session(spark.read.parquet(path), session).select("event_id", "session_id", "timestamp")
+
+
 @query("purchases_by_time", f"""WITH {EVT} SELECT "timestamp", amount::DOUBLE AS amount, currency
 FROM evt WHERE event_type = 'purchase' AND amount IS NOT NULL""")
 def _(spark, sf_dir):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loomcart.functions.joins import fits_broadcast
 from loomcart.operators.dedup import first_per_key
 from loomcart.operators.key_index import KeyIndex
+from loomcart.operators.layout import writer
 from loomcart.operators.quality import DataQualityError, assert_unique
 from loomcart.schemas import EVENT_SCHEMA, RUN_SCHEMA
 from loomcart.session import cut_lineage, path_exists, remove_path, replace_folder
@@ -117,7 +118,7 @@ def known_keys(fresh: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
                   order_by: list[str] | None = None, partition_by: list[str] | None = None,
-                  staged: str | None = None) -> dict[str, int]:
+                  staged: str | None = None, layout=None) -> dict[str, int]:
     """Append the first row of every key the target does not hold yet.
 
     Inserted and skipped rows are counted apart. Running it again with the same batch
@@ -130,10 +131,11 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
     With ``staged`` the rows to insert are first written to that folder. A batch that is
     run again takes them from there, so they stay the same whatever the first run had
     inserted already; the counts are those of the first run. Keys must not be null then.
+    ``layout`` makes the writer of the rows, as ``layout.writer``.
     """
     spark = batch.sparkSession
     if staged is not None:
-        return _insert_staged(batch, path, key, order_by, partition_by, staged)
+        return _insert_staged(batch, path, key, order_by, partition_by, staged, layout)
     if not batch.filter(F.col(key).isNull()).isEmpty():
         return _insert_unkeyed(batch, path, key, order_by, partition_by)
     order_by = order_by or [c for c in batch.columns if c != key]
@@ -146,11 +148,14 @@ def insert_ignore(batch: DataFrame, path: str, key: str = "event_id",
         known = cut_lineage(found.keys)
         fresh, inserted = fresh.join(known, key, "left_anti"), inserted - known.count()
     if inserted:
-        _append(fresh.select(*batch.columns), path, key, partition_by)
+        _append(fresh.select(*batch.columns), path, key, partition_by, layout)
     return {"inserted": inserted, "skipped": counts["rows"] - inserted}
 
 
-def _append(rows: DataFrame, path: str, key: str, partition_by: list[str] | None) -> None:
+def _append(rows: DataFrame, path: str, key: str, partition_by: list[str] | None, layout=None) -> None:
+    if layout:
+        layout(rows).mode("append").parquet(path)
+        return
     if partition_by:
         # Each task writes few folders, and a folder with most rows gets many tasks.
         rows = rows.repartitionByRange(*partition_by, key)
@@ -158,7 +163,7 @@ def _append(rows: DataFrame, path: str, key: str, partition_by: list[str] | None
 
 
 def _insert_staged(batch: DataFrame, path: str, key: str, order_by: list[str] | None,
-                   partition_by: list[str] | None, staged: str) -> dict[str, int]:
+                   partition_by: list[str] | None, staged: str, layout=None) -> dict[str, int]:
     spark = batch.sparkSession
     again = path_exists(spark, f"{staged}/_SUCCESS")
     if not again:
@@ -187,7 +192,7 @@ def _insert_staged(batch: DataFrame, path: str, key: str, order_by: list[str] |
         if fresh.isEmpty():
             return counts
     if counts["inserted"]:
-        _append(fresh.select(*batch.columns), path, key, partition_by)
+        _append(fresh.select(*batch.columns), path, key, partition_by, layout)
     return counts
 
 
@@ -293,15 +298,9 @@ def refresh_days(events: DataFrame, days: DataFrame, build, path: str,
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
-    """The events table in its reading layout: a folder per day, sorted by type and time.
-
-    Rows are range-partitioned on all three, so a day that holds most of the rows still
-    becomes many files of even size.
-    """
-    order = ["event_date", "event_type", "timestamp"]
-    (events.withColumn("event_date", F.to_date("timestamp"))
-     .repartitionByRange(*order).sortWithinPartitions(*order)
-     .write.mode(mode).partitionBy("event_date").parquet(path))
+    """The events table in its reading layout, see ``operators.layout``: a folder per day,
+    sorted along a curve through time, type and user. The ingest writes the same layout."""
+    writer(events).mode(mode).parquet(path)
 
 
 def create_view(df: DataFrame, name: str) -> None:

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loomcart.operators.anomaly import THRESHOLD, WINDOW_SIZE, check_batch_sizes
 from loomcart.operators.dedup import first_per_key
 from loomcart.operators.key_table import KeyTable, unknown_keys
+from loomcart.operators.layout import compact, compact_events, data_files, recover, writer
 from loomcart.operators.sinks import (
     insert_ignore, log_run, not_storable, remove_staged, staged_rows, storable, to_event_rows,
 )
@@ -33,6 +34,8 @@ from loomcart.streaming.rollups import add_batch, store_views
 ONE_TASK_ROWS = 100_000
 # As many batches as the stream itself can go back (spark.sql.streaming.minBatchesToRetain).
 KEPT_STATES = 100
+# Small files are merged after so many batches, in days with more than layout.MOST_FILES.
+COMPACT_EVERY = 16
 # Of batches that are handed over without a stream; each such batch may come once only.
 NO_RUN = "direct"
 
@@ -200,9 +203,9 @@ def _ingest(parsed: DataFrame, batch_id: int, root: str, order_by: list[str], wi
     failed = Observation()
     bad = not_storable(good.drop("extras")).observe(failed, F.count(F.lit(1)).alias("rows"))
     write_batch(bad, root, "not_storable", batch_id, run)
-    events = to_event_rows(storable(good)).withColumn("event_date", F.to_date("timestamp"))
+    events = to_event_rows(storable(good))
     written = insert_ignore(events, f"{root}/events", order_by=["timestamp", "_kafka_partition", "_kafka_offset"],
-                            partition_by=["event_date"], staged=f"{work}/inserted")
+                            staged=f"{work}/inserted", layout=writer)
     add_batch(staged_rows(spark, f"{work}/inserted"), root, run, batch_id)
     if views:
         store_views(spark, root)
@@ -217,6 +220,11 @@ def _ingest(parsed: DataFrame, batch_id: int, root: str, order_by: list[str], wi
         "records_flagged": done["flagged"], "duplicates_dropped": done["duplicates_dropped"],
         "anomalies_detected": done["anomalies_detected"],
     })
+    if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+        recover(spark, f"{root}/events")
+        days = [n.split("=")[1] for n in data_files(spark, f"{root}/events") if n.startswith("event_date=")]
+        compact_events(spark, f"{root}/events", days)
+        compact(spark, f"{root}/run_log")
     # A batch that is run again needs what the one before it had found to be new.
     before = f"{root}/work/{run}/{batch_id - 1}"
     remove_staged(spark, f"{before}/inserted")
