@@ -124,12 +124,15 @@ class KeyIndex:
         own["pages"] = _power(n / own["buckets"] / self.page_keys)
         path, h = f"{self.path}/{own['id']}", F.col("h")
         hashed = keys.withColumn("h", _hash(self.key)).withColumn("bucket", _bucket(h, own["buckets"]))
-        (hashed.select(self.key, "bucket").repartition(own["buckets"], "bucket").sortWithinPartitions("bucket", self.key)
+        def dealt(rows: DataFrame) -> DataFrame:
+            return rows.repartition(own["buckets"], "bucket") if own["buckets"] > 1 else rows.coalesce(1)
+
+        (dealt(hashed.select(self.key, "bucket")).sortWithinPartitions("bucket", self.key)
          .write.partitionBy("bucket").parquet(f"{path}/keys"))
         bits = hashed.select("bucket", _page(h, own["pages"]).alias("page"), F.explode(_positions(h)).alias("position"))
         # One row of 4 KB for each page leaves a map task.
         pages = bits.groupBy("bucket", "page").agg(F.bitmap_construct_agg("position").alias("bits"))
-        (pages.repartition(own["buckets"], "bucket").sortWithinPartitions("bucket", "page")
+        (dealt(pages).sortWithinPartitions("bucket", "page")
          .write.partitionBy("bucket").parquet(f"{path}/filter"))
         own["files"] = self._named(own["id"], files)
         own["filled"] = [int(b.split("=")[1]) for b in folder_names(self.spark, f"{path}/keys") if b.startswith("bucket=")]
