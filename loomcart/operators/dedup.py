@@ -7,19 +7,19 @@ one record, however many, leave each map task as one row.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcart.functions.joins import BROADCAST_ROWS
 from loomcart.session import cut_lineage
 
 FINGERPRINT_FIELDS = ["event_id", "user_id", "event_type", "timestamp"]
 
-# Keys with at most this many distinct arrival instants are folded inside one row.
-FOLD_LIMIT = 10_000
-# Hot keys are cut into pieces of this many windows each.
-WINDOWS_PER_BLOCK = 240
+# Keys are cut into pieces of this many windows each; at 60 s a piece is an hour and has
+# at most 3.6 million instants, about 80 MB.
+WINDOWS_PER_BLOCK = 60
+# So many pieces side by side are composed at a time.
+FAN = 32
 
 
 def fingerprint(df: DataFrame, name: str = "fingerprint") -> DataFrame:
@@ -78,34 +78,34 @@ def dedup_stats(df: DataFrame, window_seconds: int = 60, key: str = "fingerprint
 
 
 def dedup_window(df: DataFrame, arrival_ms: str, order_by: list[str], window_seconds: int = 60,
-                 key: str = "fingerprint", fold_limit: int = FOLD_LIMIT,
-                 windows_per_block: int = WINDOWS_PER_BLOCK) -> DataFrame:
+                 key: str = "fingerprint", windows_per_block: int = WINDOWS_PER_BLOCK,
+                 fan: int = FAN) -> DataFrame:
     """Replay of the sliding-window rule over a table with arrival times in milliseconds.
 
     A row is kept when more than ``window_seconds`` have passed since the last *kept*
     row of its key; a dropped row does not extend the window.
 
     Rows of a key that arrive in the same millisecond are first reduced to the earliest
-    of them, so a key has at most one instant per millisecond. Keys with few instants
-    are folded in one row each. The others are cut into blocks of time, see
-    ``_kept_in_blocks``; no task ever sees all of such a key.
+    of them. What is kept after a gap longer than the window does not depend on anything
+    before it, so a key's instants are cut into blocks of time and only blocks without
+    such a gap at their border need to know the last instant kept before them, see
+    ``_befores``. No task sees all instants of a key. Most blocks lie within one window
+    and keep their first instant, which takes no Python.
     """
     window_ms = window_seconds * 1000
+    width = window_ms * windows_per_block
     instants = cut_lineage(
         df.groupBy(key, F.col(arrival_ms).alias("t"))
         .agg(F.min(F.struct(*order_by)).alias("o")))
-    # At most (instants / fold_limit) keys can be hot.
-    sizes = instants.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = cut_lineage(sizes.filter(F.col("n") > fold_limit).select(key))
-    hot_keys = hot.count()
-    if hot_keys == 0:
-        kept = _kept_by_fold(instants, key, window_ms)
-    else:
-        if hot_keys <= BROADCAST_ROWS:
-            hot = F.broadcast(hot)
-        kept = _kept_by_fold(instants.join(hot, key, "left_anti"), key, window_ms).unionByName(
-            _kept_in_blocks(instants.join(hot, key, "left_semi"), key, window_ms,
-                            windows_per_block))
+    blocks = _blocks(instants, key, window_ms, width)
+    befores = _befores(blocks, key, window_ms, fan)
+    # Whatever is kept of a block that one window holds and nothing reaches into is its first.
+    whole = ~F.col("linked") & (F.col("last") - F.col("first") <= window_ms)
+    kept = blocks.filter(whole).select(key, F.col("first").alias("t"))
+    longer = blocks.filter(~whole).select(key, "block", "ts")
+    longer = (longer.withColumn("before", F.lit(None).cast("bigint")) if befores is None
+              else longer.join(befores, [key, "block"], "left"))
+    kept = kept.unionByName(_kept_in_blocks(longer, key, window_ms, width))
     # (key, instant, order) is unique, so this join has no hot key.
     chosen = kept.join(instants, [key, "t"]).select(
         F.col(key).alias("_k"), F.col("t").alias("_t"), F.col("o").alias("_o"))
@@ -114,90 +114,180 @@ def dedup_window(df: DataFrame, arrival_ms: str, order_by: list[str], window_sec
     return df.join(chosen, same, "left_semi")
 
 
-def _kept_by_fold(instants: DataFrame, key: str, window_ms: int) -> DataFrame:
-    """Kept instants of small keys: a left fold over each key's sorted instants."""
-    start = F.array().cast("array<bigint>")
-
-    def step(kept: Column, t: Column) -> Column:
-        last = F.try_element_at(kept, F.lit(-1))
-        return F.when(last.isNull() | (t - last > window_ms),
-                      F.array_append(kept, t)).otherwise(kept)
+def _blocks(instants: DataFrame, key: str, window_ms: int, width: int) -> DataFrame:
+    """One row per key and block that has instants: the sorted instants ``ts``, the ``first`` and
+    ``last`` of them, whether an instant of the block before reaches into it (``linked``), and whether it
+    reaches into the next one (``leads``).
 
-    per_key = instants.groupBy(key).agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    return per_key.select(key, F.explode(F.aggregate("ts", start, step)).alias("t"))
+    Instants near a border are shown to the block beyond it too.
+    """
+    place = F.pmod(F.col("t"), F.lit(width))
+    own = F.col("side") == 0
+    sides = F.array_compact(F.array(
+        F.lit(0), F.when(place >= width - window_ms, 1), F.when(place <= window_ms, -1)))
+    number = F.expr(f"(t - pmod(t, {width})) div {width}").alias("block")
+    shown = instants.select(key, number, "t", F.explode(sides).alias("side"))
+    found = shown.groupBy(key, (F.col("block") + F.col("side")).alias("block")).agg(
+        F.array_sort(F.collect_list(F.when(own, F.col("t")))).alias("ts"),
+        F.max(F.when(F.col("side") == 1, F.col("t"))).alias("ahead"),
+        F.min(F.when(F.col("side") == -1, F.col("t"))).alias("next"))
+    first, last = F.element_at("ts", 1), F.element_at("ts", -1)
+    return cut_lineage(found.filter(F.size("ts") > 0).select(
+        key, "block", "ts", first.alias("first"), last.alias("last"),
+        F.coalesce(first - F.col("ahead") <= window_ms, F.lit(False)).alias("linked"),
+        F.coalesce(F.col("next") - last <= window_ms, F.lit(False)).alias("leads")))
+
+
+def _befores(blocks: DataFrame, key: str, window_ms: int, fan: int) -> DataFrame | None:
+    """The last instant kept before each linked block; None if no block is linked.
+
+    A block is a function from the last instant kept before it to the last one kept in
+    it, written as lines (start, end): if ``start`` is the first line beyond the window of
+    what was kept before, the chain leaves at ``end``. Functions of ``fan`` blocks side by
+    side compose to that of their parent, and so on up to one node per key; then what is
+    kept before a node is handed down to its children. A node has at most about one line
+    per instant of its first window, so a group holds ``fan`` times as many.
+    """
+    chained = blocks.filter("linked or leads").select(key, "block", "ts", "linked")
+    ends = chained.agg(F.min("block"), F.max("block")).first()
+    if ends[0] is None:
+        return None
+    key_type = blocks.schema[key].dataType.simpleString()
+    function = f"`{key}` {key_type}, node bigint, starts array<bigint>, ends array<bigint>"
+
+    def leaf(batches):
+        for batch in batches:
+            found = []
+            for row in batch.column("ts"):
+                ts = row.values.to_numpy()
+                found.append(_trimmed(ts, ts[_chain_ends(ts, window_ms)], window_ms))
+            yield _functions(batch, key, "node", found)
+
+    def compose(batches):
+        for batch in batches:
+            found = []
+            for row in batch.column("children"):
+                children = _children(row)
+                _, starts, ends = children[-1]
+                for _, own_starts, own_ends in reversed(children[:-1]):
+                    through = _leaving(starts, ends, own_ends, window_ms)
+                    starts, ends = _trimmed(
+                        np.append(own_starts, starts), np.append(through, ends), window_ms)
+                found.append((starts, ends))
+            yield _functions(batch, key, "parent", found)
+
+    def hand_down(batches):
+        for batch in batches:
+            rows, nodes, befores = [], [], []
+            for i, (row, at) in enumerate(zip(batch.column("children"), batch.column("before").to_pylist())):
+                for node, starts, ends in _children(row):
+                    rows.append(i)
+                    nodes.append(node)
+                    befores.append(at)
+                    at = int(ends[0] if at is None else _leaving(starts, ends, np.array([at]), window_ms)[0])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key).take(pa.array(rows, pa.int64())), pa.array(nodes, pa.int64()),
+                 pa.array(befores, pa.int64())], names=[key, "node", "before"])
+
+    def families(level: DataFrame) -> DataFrame:
+        children = F.array_sort(F.collect_list(F.struct("node", "starts", "ends")))
+        return cut_lineage(level.groupBy(key, F.expr(f"node div {fan}").alias("parent"))
+                           .agg(children.alias("children")))
+
+    # Nodes are numbered from the first chained block on.
+    low, span = ends[0], ends[1] - ends[0] + 1
+    numbered = chained.select(key, (F.col("block") - low).alias("node"), "ts")
+    levels = [families(numbered.mapInArrow(leaf, function))]
+    while span > fan:
+        levels.append(families(levels[-1].mapInArrow(compose, function)))
+        span = -(-span // fan)
+    # The top nodes of a key have one parent, before which nothing is kept.
+    known = levels.pop().withColumn("before", F.lit(None).cast("bigint"))
+    handed_schema = f"`{key}` {key_type}, node bigint, before bigint"
+    handed = known.mapInArrow(hand_down, handed_schema)
+    while levels:
+        known = levels.pop().join(handed.withColumnRenamed("node", "parent"), [key, "parent"])
+        handed = known.mapInArrow(hand_down, handed_schema)
+    linked = chained.filter("linked").select(key, "block")
+    return handed.select(key, (F.col("node") + low).alias("block"), "before").join(linked, [key, "block"])
 
 
 def _chain_ends(ts: np.ndarray, window_ms: int) -> np.ndarray:
-    """For each instant: the last instant kept when the chain starts there."""
-    own = np.arange(len(ts))
+    """For each instant: the place of the last one kept when the chain starts there."""
     jump = np.searchsorted(ts, ts + window_ms, side="right")
-    jump = np.where(jump < len(ts), jump, own)
+    jump = np.where(jump < len(ts), jump, np.arange(len(ts)))
     while True:
         twice = jump[jump]
         if np.array_equal(twice, jump):
-            return ts[jump]
+            return jump
         jump = twice
 
 
-def _kept_in_blocks(instants: DataFrame, key: str, window_ms: int,
-                    windows_per_block: int) -> DataFrame:
-    """Kept instants of hot keys in three steps over blocks of time.
-
-    1. Each (key, block) reports where the chain leaves it for every instant at which
-       the chain can enter it. Entries lie in the block's first window.
-    2. Each key walks its blocks and learns the true entry of each.
-    3. Each (key, block) emits its kept instants from the true entry.
-
-    A block holds at most ``windows_per_block * window_ms`` instants, and a report at
-    most ``window_ms`` of them, because instants are distinct milliseconds.
-    """
-    width = window_ms * windows_per_block
-    key_type = instants.schema[key].dataType.simpleString()
-    blocked = instants.select(key, F.floor(F.col("t") / width).alias("block"), "t")
-
-    def report(pdf: pd.DataFrame) -> pd.DataFrame:
-        ts = np.sort(pdf["t"].to_numpy())
-        entries = np.searchsorted(ts, ts[0] + window_ms, side="left") + 1
-        ends = _chain_ends(ts, window_ms)[:entries]
-        starts = ts[:entries]
-        # Entries in a row that leave alike need one line: the last of them.
-        last = np.append(ends[1:] != ends[:-1], True)
-        return pd.DataFrame({key: pdf[key].iloc[0], "block": pdf["block"].iloc[0],
-                             "start": starts[last], "end": ends[last]})
-
-    reports = blocked.groupBy(key, "block").applyInPandas(
-        report, f"`{key}` {key_type}, block bigint, start bigint, end bigint")
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["block", "start"])
-        blocks, at = np.unique(pdf["block"].to_numpy(), return_index=True)
-        starts, ends = pdf["start"].to_numpy(), pdf["end"].to_numpy()
-        stops = np.append(at[1:], len(pdf))
-        after, befores = None, []
-        for lo, hi in zip(at, stops):
-            befores.append(after)
-            i = lo if after is None else lo + np.searchsorted(starts[lo:hi], after + window_ms,
-                                                              side="right")
-            if i < hi:
-                after = ends[i]
-        return pd.DataFrame({key: pdf[key].iloc[0], "block": blocks,
-                             "before": pd.array(befores, dtype="Int64")})
-
-    entries = reports.groupBy(key).applyInPandas(
-        walk, f"`{key}` {key_type}, block bigint, before bigint")
-
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        ts = np.sort(pdf["t"].to_numpy())
-        before = pdf["before"].iloc[0]
-        i = 0 if pd.isna(before) else np.searchsorted(ts, int(before) + window_ms, side="right")
-        kept = []
-        while i < len(ts):
-            kept.append(ts[i])
-            i = np.searchsorted(ts, ts[i] + window_ms, side="right")
-        return pd.DataFrame({key: pdf[key].iloc[0], "t": np.array(kept, dtype="int64")})
-
-    return blocked.join(entries, [key, "block"]).groupBy(key, "block").applyInPandas(
-        emit, f"`{key}` {key_type}, t bigint")
+def _trimmed(starts: np.ndarray, ends: np.ndarray, window_ms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lines that can be asked for: those in the first window and the one after it. Of
+    lines in a row that leave alike the last is enough."""
+    asked = np.searchsorted(starts, starts[0] + window_ms, side="right") + 1
+    starts, ends = starts[:asked], ends[:asked]
+    last = np.append(ends[1:] != ends[:-1], True)
+    return starts[last], ends[last]
+
+
+def _leaving(starts: np.ndarray, ends: np.ndarray, befores: np.ndarray, window_ms: int) -> np.ndarray:
+    """The last instants kept after a node; without a line for it a chain passes unchanged."""
+    line = np.searchsorted(starts, befores + window_ms, side="right")
+    return np.where(line < len(starts), ends[np.minimum(line, len(starts) - 1)], befores)
+
+
+def _functions(batch: pa.RecordBatch, key: str, node: str, found: list) -> pa.RecordBatch:
+    """A row per node with its lines."""
+    def lists(place):
+        return pa.array([lines[place] for lines in found], pa.list_(pa.int64()))
+
+    return pa.RecordBatch.from_arrays([batch.column(key), batch.column(node), lists(0), lists(1)],
+                                      names=[key, "node", "starts", "ends"])
+
+
+def _children(row: pa.ListScalar) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Node, starts and ends of the nodes below one parent, in order."""
+    nodes, starts, ends = (row.values.field(i) for i in range(3))
+    return [(node, starts[i].values.to_numpy(), ends[i].values.to_numpy())
+            for i, node in enumerate(nodes.to_pylist())]
+
+
+def _kept_in_blocks(blocks: DataFrame, key: str, window_ms: int, width: int) -> DataFrame:
+    """Kept instants of blocks (sorted instants ``ts``), each from the last one kept before
+    it, if any. The chains of all blocks in a batch are followed side by side."""
+    key_type = blocks.schema[key].dataType.simpleString()
+    apart = width + window_ms + 1
+
+    def emit(batches):
+        for batch in batches:
+            lists = batch.column("ts")
+            stops = np.cumsum(lists.value_lengths().to_numpy())
+            # Blocks are laid one behind the other, so far apart that no window spans two.
+            shift = np.arange(len(stops)) * apart - batch.column("block").to_numpy() * width
+            of = np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))
+            ts = lists.flatten().to_numpy()
+            places = ts + shift[of]
+            beyond = np.searchsorted(places, places + window_ms, side="right")
+            before = batch.column("before")
+            reach = before.fill_null(0).to_numpy() + window_ms + shift
+            reach = np.maximum(reach, np.arange(len(stops)) * apart - 1)
+            at = np.where(before.is_null().to_numpy(zero_copy_only=False),
+                          np.append(0, stops[:-1]), np.searchsorted(places, reach, side="right"))
+            kept = [np.zeros(0, dtype=np.int64)]
+            while True:
+                inside = at < stops
+                at, stops = at[inside], stops[inside]
+                if not len(at):
+                    break
+                kept.append(at)
+                at = beyond[at]
+            kept = np.concatenate(kept)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key).take(pa.array(of[kept])), pa.array(ts[kept])], names=[key, "t"])
+
+    return blocks.select(key, "block", "ts", "before").mapInArrow(emit, f"`{key}` {key_type}, t bigint")
 
 
 def dedup_within_watermark(df: DataFrame, event_time: str, window_seconds: int = 60,

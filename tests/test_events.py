@@ -175,9 +175,9 @@ def test_window_edges(spark):
     assert [at // 1000 for _, at, _ in kept] == [0, 61, 122, 200]
 
 
-@pytest.mark.parametrize("limit", [10_000, 5])
-def test_window_against_brute_force(spark, limit):
-    """Once folded per key, once with the hot keys cut into short blocks."""
+@pytest.mark.parametrize("width, fan", [(240, 32), (3, 2), (1, 3)])
+def test_window_against_brute_force(spark, width, fan):
+    """Once with a block for most keys, then cut into short blocks under several levels."""
     import random
 
     rnd = random.Random(7)
@@ -186,10 +186,17 @@ def test_window_against_brute_force(spark, limit):
     arrivals += [(f"k{rnd.randrange(40)}", rnd.randrange(0, 900_000)) for _ in range(300)]
     arrivals += [("hot", arrivals[0][1])]
     rnd.shuffle(arrivals)
-    got = _window(spark, arrivals, fold_limit=limit, windows_per_block=3)
+    got = _window(spark, arrivals, windows_per_block=width, fan=fan)
     assert got == _brute(arrivals)
 
 
+def test_window_chain_over_borders(spark):
+    """Kept instants depend on what is kept many blocks before, and times lie around zero."""
+    arrivals = [("a", t) for t in range(-900_000, 900_000, 25_000)] + [("b", -1), ("b", 0), ("b", 60_000)]
+    assert _window(spark, arrivals, windows_per_block=2, fan=2) == _brute(arrivals)
+    assert _window(spark, []) == []
+
+
 # --- audit and validation ---
 
 def _validated(spark, *records):
