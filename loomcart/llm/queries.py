@@ -38,10 +38,19 @@ def op2(spark, sf_dir):
 
 @query("op3_licenses")
 def op3(spark, sf_dir):
-    """Documents as files in folders by source, language and number."""
+    """Documents as files in folders by source, language and number. Every fourth stands one
+    or two folders further up and is named as a licence file."""
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"),
-                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    number = F.col("doc_id")
+    above = F.coalesce(number % 4 == 0, F.lit(False))
+
+    def part(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit("unknown"))
+
+    thousands = F.when(~above | (number % 8 == 4), F.floor(number / 1000).cast("string"))
+    hundreds = F.when(~above, F.floor(number / 100).cast("string"))
+    path = F.concat_ws("/", part("source"), part("lang"), thousands, hundreds,
+                       F.concat(F.when(above, "LICENSE-").otherwise(""), part("doc_id"), F.lit(".txt")))
     return licenses.scan(docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text"))
 
 
