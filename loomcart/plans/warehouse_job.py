@@ -12,9 +12,10 @@ from loomcart.operators.integrity import foreign_key_violations
 from loomcart.operators.orders import (
     stage_orders, transform_customers, transform_orders, transform_products,
 )
-from loomcart.operators.quality import validate_table
+from loomcart.operators.quality import require_columns, validate_table
 from loomcart.operators.sinks import create_view, load_table
 from loomcart.plans.marts import daily_revenue
+from loomcart.session import remove_path, scratch_path, store
 from loomcart.sources.tables import date_dimension, date_range
 
 ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "price", "discount",
@@ -41,21 +42,28 @@ def run_daily(orders: DataFrame, customers: DataFrame, products: DataFrame, root
               if_exists: str = "replace", order_by: list[str] | None = None) -> DailyRun:
     """Check the extracts, transform them, load the warehouse and build the marts.
 
-    Missing columns stop the run before anything is written. Rows with unknown foreign
-    keys are loaded and reported in ``violations``; days with an unusual number of
-    orders in ``alerts``.
+    Missing columns stop the run before anything is written. Each extract is computed once
+    and staged, so what is counted is what is loaded, even if its source changes meanwhile.
+    Rows with unknown foreign keys are loaded and reported in ``violations``; days with an
+    unusual number of orders in ``alerts``.
     """
     spark = orders.sparkSession
     run = DailyRun(root)
-    run.null_counts = {
-        "orders": validate_table(orders, ORDER_COLUMNS),
-        "customers": validate_table(customers, CUSTOMER_COLUMNS),
-        "products": validate_table(products, PRODUCT_COLUMNS),
+    extracts = {
+        "customers": (customers, CUSTOMER_COLUMNS, transform_customers, "dim_customers"),
+        "products": (products, PRODUCT_COLUMNS, transform_products, "dim_products"),
+        "orders": (orders, ORDER_COLUMNS, lambda df: transform_orders(df, order_by), "fact_orders"),
     }
-    for name, table in (("dim_customers", transform_customers(customers)),
-                        ("dim_products", transform_products(products)),
-                        ("fact_orders", transform_orders(orders, order_by))):
-        run.loaded[name] = load_table(table, f"{root}/{name}", if_exists)
+    for extract, columns, _, _ in extracts.values():
+        require_columns(extract, columns)
+    for name, (extract, columns, transform, target) in extracts.items():
+        path = scratch_path(spark, name)
+        try:
+            staged = store(extract, path)
+            run.null_counts[name] = validate_table(staged, columns)
+            run.loaded[target] = load_table(transform(staged), f"{root}/{target}", if_exists)
+        finally:
+            remove_path(spark, path)
     fact = run.table(spark, "fact_orders")
     days = date_dimension(date_range(fact, "order_date"))
     run.loaded["dim_date"] = load_table(days, f"{root}/dim_date", "replace")

@@ -57,3 +57,37 @@ def test_messages_are_parsed_once(spark):
     # A filter on the outcome stays above the parse; below it nothing is filtered.
     above, below = text.split("Generate explode", 1)
     assert "- Filter" in above and "- Filter" not in below
+
+
+def _events(spark, rows):
+    return spark.createDataFrame(
+        rows, "event_type string, user_id string, amount double, currency string, timestamp string").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp"))
+
+
+def test_event_reports_come_in_order(spark):
+    """Latest first and nulls ahead of them; of a day the commonest type first."""
+    rows = [("LOGIN", "a", None, None, f"2024-01-0{day} 10:00:00") for day in (2, 1, 3) for _ in range(day)]
+    rows += [("SIGNUP", "b", None, None, "2024-01-01 11:00:00")] * 4 + [("LOGIN", "c", None, None, None)]
+    rows += [("PURCHASE", "a", 1.0, "EUR", f"2024-01-02 {hour}:00:00") for hour in ("09", "23", "12")]
+    events = _events(spark, rows).repartition(5)
+    volume = marts.daily_event_volume_report(events).collect()
+    assert [(str(r.event_date), r.event_count) for r in volume] == [
+        ("None", 1), ("2024-01-03", 3), ("2024-01-02", 3), ("2024-01-02", 2), ("2024-01-01", 4), ("2024-01-01", 1)]
+    assert [r.hour.hour for r in marts.hourly_revenue_report(events).collect()] == [23, 12, 9]
+    funnel = marts.user_funnel(marts.daily_event_volume(events)).collect()
+    assert [str(r.event_date) for r in funnel] == ["None", "2024-01-03", "2024-01-02", "2024-01-01"]
+
+
+def test_order_reports_come_in_order(spark):
+    from loomcart.catalog import orders
+
+    sf_dir = "/root/testdata/sf0.001"
+    fact = orders.fact(spark, sf_dir).repartition(5)
+    months = [r.month for r in marts.monthly_revenue(fact).collect()]
+    assert len(months) > 2 and months == sorted(months)
+    cohorts = [(r.cohort_month, r.order_month) for r in marts.cohort_retention(fact).collect()]
+    assert len(cohorts) > 2 and cohorts == sorted(cohorts)
+    top = marts.top_customers(orders.dim(spark, sf_dir, "customers"), fact).collect()
+    totals = [r.total_revenue for r in top]
+    assert len(top) == 10 and totals == sorted(totals, reverse=True)
