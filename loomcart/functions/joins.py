@@ -22,11 +22,12 @@ def lookup_join(df: DataFrame, keys: DataFrame, on: list[str], spread_by: list[s
 
     A small key table is broadcast. A large one is joined on (key, salt): rows of a hot
     key go to ``SALTS`` partitions instead of one, at the price of that many copies of
-    the (narrow) key table. AQE may split further.
+    the (narrow) key table. AQE may split further. The copies are never broadcast: Spark
+    estimates them by the size of the key table, without the factor ``SALTS``.
     """
     if fits_broadcast(keys, limit):
         return df.join(F.broadcast(keys), on, "left")
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
     salted = df.withColumn("_salt", salt)
     copies = keys.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
+    return salted.join(copies.hint("merge"), [*on, "_salt"], "left").drop("_salt")

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from loomcart.functions.joins import lookup_join
 from loomcart.operators import access
 from loomcart.operators.dedup import first_per_key
 from loomcart.operators.validate import accepted, validate
@@ -91,3 +92,12 @@ def test_order_reports_come_in_order(spark):
     top = marts.top_customers(orders.dim(spark, sf_dir, "customers"), fact).collect()
     totals = [r.total_revenue for r in top]
     assert len(top) == 10 and totals == sorted(totals, reverse=True)
+
+
+def test_large_key_tables_are_not_broadcast(spark):
+    """Salted copies look as small as the key table to the planner."""
+    rows = spark.range(10).select(F.col("id").cast("string").alias("k"), "id")
+    keys = spark.range(5).select(F.col("id").cast("string").alias("k"), F.lit(True).alias("known"))
+    joined = lookup_join(rows, keys, ["k"], ["id"], limit=0)
+    assert joined.filter("known").count() == 5 and joined.count() == 10
+    assert "Broadcast" not in plan(joined)
