@@ -107,7 +107,8 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     some messages are cut off or are no objects. ``oracle.RAW_EVENTS`` states the
     expected reading of the same rows.
     """
-    e = spread(table(spark, sf_dir, "events"))
+    e = table(spark, sf_dir, "events")
+    e = spread(e, e.count())  # counted from the footers
     i, u = F.col("event_id"), F.col("user_id")
     ts = F.col("ts").cast("timestamp")
 
