@@ -169,3 +169,24 @@ def test_failed_streams_are_logged(spark, folder):
     assert sorted((r.status, r.records_ingested, r.records_rejected) for r in log if r.status == "completed") == [("completed", 2, 1)]
     assert [r for r in log if r.status == "failed" and "stop" in r.error_message]
     assert all(r.completed_at - r.started_at < timedelta(minutes=5) for r in log)
+
+
+def test_users_of_a_large_batch_are_written_by_several_tasks(spark, folder):
+    """One task may not write all (day, type, user) triples that a batch brings."""
+    from loomcart.streaming.rollups import add_batch
+
+    events = spark.range(20_000).select(
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"), F.lit("2024-01-01").cast("date").alias("event_date"),
+        F.lit("CLICK").alias("event_type"), F.col("id").cast("string").alias("user_id"),
+        F.lit(None).cast("decimal(18,4)").alias("amount"), F.lit(None).cast("string").alias("currency"))
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "64k")
+        add_batch(events, folder, "r", 0)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    presence = spark.read.parquet(f"{folder}/summaries/presence")
+    assert presence.count() == 20_000 and len(presence.inputFiles()) > 1
