@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from loomcart.operators import dedup
 from loomcart.operators.integrity import check_references
-from loomcart.operators.normalize import from_columns, normalize, other_fields, raw_event_columns
+from loomcart.operators.normalize import _read_fields, from_columns, normalize, other_fields, raw_event_columns
 from loomcart.operators.validate import audit_nulls, validate
-from loomcart.plans.events_job import process
+from loomcart.plans.events_job import process, records
 from loomcart.sources.events import decoded, kafka_options, parse_kafka, parse_landing, quarantined
 
 
@@ -291,3 +291,20 @@ def test_history_continues_the_sequence(spark):
     spike = {**EVENT, "event_id": "x", "amount": 900}
     result = process(parsed(spark, *records, spike), ["seq"], history=history)
     assert [r.seq for r in result.alerts.collect()] == [1]
+
+
+def test_text_is_not_read_as_a_number(spark):
+    """Each text that is no number would raise an error inside Spark; numbers are read from numbers."""
+    read, _ = _read_fields(decoded(parsed(spark, {"timestamp": "1700000000", "amount": "12"}, {"ts": 1700000000.5, "amt": 12},
+                                          {"time": True, "price": False})), aliases=True)
+    assert [(r["_d_timestamp"], r["_d_amount"]) for r in read.orderBy("seq").collect()] == [
+        (None, None), (1700000000.5, 12.0), (1.0, 0.0)]
+
+
+def test_other_fields_are_read_once(spark):
+    """The record's other fields are parsed for one mention, not again for each; they come out whole."""
+    rows = records(parsed(spark, {"user": "a", "x": {"y": [1, 2]}, "z": None}, {"user": "b"}, "[1]", None))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("map_filter(") == 1
+    found = rows.orderBy("seq").select(F.try_variant_get("extras", "$.x.y[1]", "int").alias("y"),
+                                       F.col("extras").isNull().alias("none"), "_broken")
+    assert [tuple(r) for r in found.collect()] == [(2, False, False), (None, True, False), (None, True, True), (None, True, True)]

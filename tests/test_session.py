@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomcart.session import spread
+from loomcart.session import configure, spread
 
 
 def test_rows_are_dealt_out_though_files_have_many_parts(spark, folder):
@@ -20,3 +20,10 @@ def test_rows_are_dealt_out_though_files_have_many_parts(spark, folder):
         assert spread(table, 1_000_000).rdd.getNumPartitions() == 20
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", cut)
+
+
+def test_no_stage_is_too_long_to_be_compiled(spark):
+    """HotSpot leaves methods above 8,000 bytes to its interpreter, also in sessions somebody else built."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    assert int(configure(other).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
