@@ -102,3 +102,10 @@ def test_row_index_and_rank(spark):
         return 1 + sum(v is None or v > values[i] for v in values)
     got = {r.id: r.place for r in with_global_rank(df, "v", ["id"], "place").collect()}
     assert got == {i: rank(i) for i in range(500)}
+
+
+def test_blocks_are_dealt_over_tasks(spark):
+    """Blocks are small in bytes, so Spark would put all of them into one task."""
+    scored = rolling_zscore(amounts(spark, [n % 7 for n in range(2000)]), "amount", ["seq"], window_size=5, block_rows=50)
+    places = scored.select("seq", F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(places) > 1 and sum(r["count"] for r in places) == 2000
